@@ -108,14 +108,16 @@ def exact_quantiles(df: DataFrame, columns: Mapping[str, Column], probs: Sequenc
 
 
 def medians(df: DataFrame, columns: Mapping[str, Column], by: Sequence[str] = ()) -> DataFrame:
-    """Exact medians and non-null counts: (by, <name>, <name>_n for each entry)."""
+    """Exact medians and non-null counts: (by, <name>, <name>_n for each entry).
+
+    A group without any value has a null median and a count of 0.
+    """
+    counts = df.groupBy(*by).agg(*[F.count(c).alias(f"{n}_n") for n, c in columns.items()])
     q = exact_quantiles(df, columns, [0.5], by)
-    aggs = []
-    for n in columns:
-        hit = F.col("name") == n
-        aggs += [F.max(F.when(hit, F.col("q")[0])).alias(n),
-                 F.coalesce(F.max(F.when(hit, F.col("n"))), F.lit(0)).alias(f"{n}_n")]
-    return q.groupBy(*by).agg(*aggs)
+    mid = q.groupBy(*by).agg(*[F.max(F.when(F.col("name") == n, F.col("q")[0])).alias(n) for n in columns])
+    if by:
+        return counts.join(mid, list(by), "left")
+    return counts.withColumns({n: mid.select(n).scalar() for n in columns})
 
 
 # Sorting this many rows in one task is cheap; beyond it the order is built in slices.

@@ -95,8 +95,8 @@ def traffic(raw: DataFrame, override: DataFrame, mapping: DataFrame, override_pr
 
 def state_values(raw: DataFrame, states: DataFrame, name: str, values: Mapping[str, str]) -> DataFrame:
     """(state, values): rows of a per-state file, non-state rows such as national totals left out."""
-    return (raw.join(states, F.col(name) == F.col("state_name"))
-            .select("state", *[F.col(src).cast("double").alias(out) for out, src in values.items()]))
+    named = raw.select(F.col(name).alias("state_name"), *[F.col(src).cast("double").alias(out) for out, src in values.items()])
+    return named.join(states, "state_name").select("state", *values)
 
 
 def registrations(raw: DataFrame, states: DataFrame) -> DataFrame:

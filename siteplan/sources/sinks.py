@@ -37,12 +37,10 @@ def map_stations(st: DataFrame) -> DataFrame:
 def metrics_documents(metrics: DataFrame) -> DataFrame:
     """Long metrics (target, section, model, metric, value) to one JSON document per target."""
     inner = metrics.groupBy("target", "section", "model").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("metric", "value")))).alias("m"))
+        F.map_from_entries(F.collect_list(F.struct("metric", "value"))).alias("m"))
     mid = inner.groupBy("target", "section").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("model", F.to_json("m").alias("j"))))).alias("models"))
-    nested = mid.select("target", F.struct("section", F.transform_values(
-        "models", lambda _, j: F.from_json(j, "map<string,double>")).alias("models")).alias("s"))
-    return nested.groupBy("target").agg(F.map_from_entries(F.collect_list("s")).alias("doc")).select(
+        F.map_from_entries(F.collect_list(F.struct("model", "m"))).alias("models"))
+    return mid.groupBy("target").agg(F.map_from_entries(F.collect_list(F.struct("section", "models"))).alias("doc")).select(
         F.to_json(F.struct("target", "doc")).alias("value"))
 
 
