@@ -18,7 +18,7 @@ def _plain_points(t: Tables) -> DataFrame:
   from station s join entity e on e.fips = s.fips"""))
 def _(t: Tables) -> DataFrame:
     both = t.stations().select("station_id", "fips", "lat", "lon").join(t.entity().select("fips", "cent_lat", "cent_lon"), "fips")
-    return both.select("station_id", F.round(haversine_miles(F.col("cent_lat"), F.col("cent_lon"), F.col("lat"), F.col("lon")), 6).alias("miles"))
+    return both.select("station_id", F.round(haversine_miles("cent_lat", "cent_lon", "lat", "lon"), 6).alias("miles"))
 
 
 TILE_SQL = "tiles as (select {cols} from nation)"

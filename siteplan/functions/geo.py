@@ -11,12 +11,11 @@ EARTH_RADIUS_MI = 3958.8  # fixed value
 SQ_M_PER_SQ_MI = 2.59e6  # fixed value
 
 
-def haversine_miles(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    """Great-circle distance in miles between points given in degrees."""
-    s_lat = F.sin(F.radians(lat2 - lat1) / 2)
-    s_lon = F.sin(F.radians(lon2 - lon1) / 2)
-    a = s_lat * s_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * s_lon * s_lon
-    return F.asin(F.least(F.sqrt(a), F.lit(1.0))) * (2 * EARTH_RADIUS_MI)
+def haversine_miles(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:
+    """Great-circle distance in miles; the arguments are SQL expressions in degrees."""
+    s_lat, s_lon = f"sin(radians({lat2} - {lat1}) / 2)", f"sin(radians({lon2} - {lon1}) / 2)"
+    a = f"{s_lat} * {s_lat} + cos(radians({lat1})) * cos(radians({lat2})) * {s_lon} * {s_lon}"
+    return F.expr(f"asin(least(sqrt({a}), 1d)) * {2 * EARTH_RADIUS_MI}d")
 
 
 class AlbersConus:

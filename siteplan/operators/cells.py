@@ -24,48 +24,45 @@ DEPTH = 12
 LEAF_POINTS = 64
 SLACK_MI = 1e-6
 
-_SHIFT = 32
-_LOW = (1 << _SHIFT) - 1
+ROWS, COLS = int(180 / TOP_DEG) + 1, int(360 / TOP_DEG)
 
 
 def _side(level: int) -> float:
     return TOP_DEG / (1 << (FAN_BITS * level))
 
 
-def _cell(lat: Column, lon: Column, level: int) -> Column:
+# A cell number holds the row in its upper and the column in its lower 32 bits. The expressions
+# are SQL text: one call each instead of one per operator.
+
+
+def _cell(level: int) -> Column:
+    """Cell of (lat, lon)."""
     c = _side(level)
-    row = F.floor((lat + 90.0) / c)
-    col = F.floor(F.pmod(lon + 180.0, F.lit(360.0)) / c)
-    return F.shiftleft(row, _SHIFT) + col
+    return F.expr(f"shiftleft(floor((lat + 90d) / {c}d), 32) + floor(pmod(lon + 180d, 360d) / {c}d)")
 
 
-def _parent(cell: Column) -> Column:
-    row = F.shiftright(F.shiftright(cell, _SHIFT), FAN_BITS)
-    return F.shiftleft(row, _SHIFT) + F.shiftright(cell.bitwiseAND(F.lit(_LOW)), FAN_BITS)
+def _parent(cell: str) -> Column:
+    return F.expr(f"shiftleft(shiftright(shiftright({cell}, 32), {FAN_BITS}), 32) + shiftright({cell} & 4294967295, {FAN_BITS})")
 
 
-def _centre(cell: Column, level: int) -> tuple[Column, Column]:
+def _centre(cell: str, level: int) -> tuple[str, str]:
     c = _side(level)
-    return ((F.shiftright(cell, _SHIFT) + 0.5) * c - 90.0,
-            (cell.bitwiseAND(F.lit(_LOW)) + 0.5) * c - 180.0)
+    return f"((shiftright({cell}, 32) + 0.5d) * {c}d - 90d)", f"((({cell}) & 4294967295) + 0.5d) * {c}d - 180d"
 
 
 def _nodes(points: DataFrame, level: int, p: str, *extra: Column) -> DataFrame:
-    """One row per occupied cell: (p, p_up, p_rad, p_pts, extras)."""
-    with_cell = points.withColumn(p, _cell(F.col("lat"), F.col("lon"), level))
-    lat0, lon0 = _centre(F.col(p), level)
-    return (with_cell.groupBy(p)
-            .agg(F.max(haversine_miles(lat0, lon0, F.col("lat"), F.col("lon"))).alias(f"{p}_rad"),
+    """One row per occupied cell: (p, p_rad, p_pts, p_up, extras)."""
+    lat0, lon0 = _centre(p, level)
+    return (points.withColumn(p, _cell(level)).groupBy(p)
+            .agg(F.max(haversine_miles(lat0, f"({lon0})", "lat", "lon")).alias(f"{p}_rad"),
                  F.count("*").alias(f"{p}_pts"), *extra)
-            .withColumn(f"{p}_up", _parent(F.col(p))))
+            .withColumn(f"{p}_up", _parent(p)))
 
 
 def _top_cells() -> Column:
     """Every cell of the coarsest grid (1,035 of them, fixed by the size of the globe)."""
-    rows, cols = range(int(180 / TOP_DEG) + 1), range(int(360 / TOP_DEG))
-    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(rows[-1])), lambda r: F.transform(
-        F.sequence(F.lit(0), F.lit(cols[-1])),
-        lambda c: F.shiftleft(r.cast("bigint"), _SHIFT) + c)))
+    return F.expr(f"flatten(transform(sequence(0, {ROWS - 1}), r -> transform(sequence(0, {COLS - 1}), "
+                  "c -> shiftleft(cast(r as bigint), 32) + c)))")
 
 
 def _refine(src: DataFrame, tgt: DataFrame, judge: Callable[[DataFrame], DataFrame],
@@ -87,11 +84,10 @@ def _refine(src: DataFrame, tgt: DataFrame, judge: Callable[[DataFrame], DataFra
         else:
             pairs = (still_open.select(F.col("s").alias("s_up"), F.col("t").alias("t_up"), "cap")
                      .join(s_nodes, "s_up").join(t_nodes, "t_up"))
-        apart = haversine_miles(*_centre(F.col("s"), level), *_centre(F.col("t"), level))
-        reach = F.col("s_rad") + F.col("t_rad")
-        judged = judge(pairs.withColumns({
-            "near": apart - reach - SLACK_MI, "far": apart + reach + SLACK_MI,
-            "small": (F.col("t_pts") <= LEAF_POINTS) | F.lit(level == DEPTH)}))
+        (s_lat, s_lon), (t_lat, t_lon) = _centre("s", level), _centre("t", level)
+        judged = judge(pairs.withColumn("apart", haversine_miles(s_lat, f"({s_lon})", t_lat, f"({t_lon})")).withColumns({
+            "near": F.expr(f"apart - s_rad - t_rad - {SLACK_MI}d"), "far": F.expr(f"apart + s_rad + t_rad + {SLACK_MI}d"),
+            "small": F.lit(True) if level == DEPTH else F.expr(f"t_pts <= {LEAF_POINTS}")}))
         kept = stage(judged.select("s", "t", "cap", "state"), "cellpairs")
         states = {r["state"] for r in kept.select("state").distinct().collect()}
         out.append((level, kept, states))
@@ -108,25 +104,32 @@ def _point_pairs(src: DataFrame, tgt: DataFrame,
     for level, kept, states in levels:
         if "points" not in states and level > 0:
             continue
-        s = src.withColumn("s", _cell(F.col("lat"), F.col("lon"), level))
-        t = tgt.select(F.col("lat").alias("t_lat"), F.col("lon").alias("t_lon"), *target_cols,
-                       _cell(F.col("lat"), F.col("lon"), level).alias("t"))
-        parts.append(kept.filter(F.col("state") == "points").select("s", "t").join(t, "t").join(s, "s")
-                     .select("lat", "lon", *target_cols, haversine_miles(
-                         F.col("lat"), F.col("lon"), F.col("t_lat"), F.col("t_lon")).alias("miles")))
+        s = src.withColumn("s", _cell(level))
+        t = tgt.select(F.col("lat").alias("t_lat"), F.col("lon").alias("t_lon"), *target_cols, _cell(level).alias("t"))
+        parts.append(kept.filter("state = 'points'").select("s", "t").join(t, "t").join(s, "s")
+                     .select("lat", "lon", *target_cols, haversine_miles("lat", "lon", "t_lat", "t_lon").alias("miles")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+def distinct_points(df: DataFrame) -> DataFrame:
+    """Written table of distinct coordinates; such a table passes through unchanged."""
+    if getattr(df, "_distinct_points", False):
+        return df
+    out = stage(df.select("lat", "lon").dropna().distinct(), "src")
+    out._distinct_points = True
+    return out
+
+
 def nearest_since(sources: DataFrame, targets: DataFrame) -> DataFrame:
     """Nearest targets over time: (lat, lon, since, miles), one row per useful start year.
 
     ``sources`` has lat, lon; ``targets`` has lat, lon, since (the year a target starts to count).
     The nearest target as of year t is the least ``miles`` among rows with since <= t.
     """
-    src = stage(sources.select("lat", "lon").dropna().distinct(), "src")
+    src = distinct_points(sources)
     tgt = stage(targets.dropna(subset=["lat", "lon"]).groupBy("lat", "lon")
                 .agg(F.min("since").alias("since")), "tgt")
     # A pair can win only in years its target cell has a target; the best upper bound among cells
@@ -150,7 +153,7 @@ def weight_within_since(sources: DataFrame, targets: DataFrame, radius_mi: float
     ``targets`` has lat, lon, since, weight. The distance limit is inclusive. The total as of
     year t is the sum over rows with since <= t.
     """
-    src = stage(sources.select("lat", "lon").dropna().distinct(), "src")
+    src = distinct_points(sources)
     per_year = stage(targets.dropna(subset=["lat", "lon"]).groupBy("lat", "lon", "since")
                      .agg(F.sum("weight").alias("weight")), "tgt")
 
@@ -165,11 +168,11 @@ def weight_within_since(sources: DataFrame, targets: DataFrame, radius_mi: float
     for level, kept, states in levels:
         if "inside" not in states:
             continue
-        t = (per_year.groupBy(_cell(F.col("lat"), F.col("lon"), level).alias("t"), "since")
+        t = (per_year.groupBy(_cell(level).alias("t"), "since")
              .agg(F.sum("weight").alias("weight")))
         whole = (kept.filter(F.col("state") == "inside").select("s", "t").join(t, "t")
                  .groupBy("s", "since").agg(F.sum("weight").alias("weight")))
-        parts.append(src.withColumn("s", _cell(F.col("lat"), F.col("lon"), level)).join(whole, "s")
+        parts.append(src.withColumn("s", _cell(level)).join(whole, "s")
                      .select("lat", "lon", "since", "weight"))
     out = parts[0]
     for p in parts[1:]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from siteplan.functions.transforms import FEATURES, complete_cases, model_features
 from siteplan.operators import metrics as mt
 from siteplan.operators.ordering import percentile_ranks, row_numbers
+from siteplan.plans.l1path import l1_grid
 from siteplan.session import stage
 
 TARGETS = {"A": "y_new_site", "B": "y_first_site"}
@@ -79,38 +81,53 @@ def training_rows(panel: DataFrame, target: str) -> DataFrame:
         "fips", "state", "year", F.col(TARGETS[target]).alias("y"), *[F.col(f).cast("double").alias(f) for f in FEATURES])
 
 
-def _probability(fit: Model, df: DataFrame, out: str) -> DataFrame:
-    return fit.transform(df).withColumn(out, vector_to_array("probability")[1]).drop(
-        "probability", "rawPrediction", "prediction")
-
-
 @dataclass(frozen=True)
 class Fitted:
-    """A model with the scaler of its training rows (None for trees)."""
+    """A tree model on raw features."""
 
     model: Model
-    scaler: Scaler | None
+
+    def score(self, df: DataFrame, out: str = "p") -> DataFrame:
+        return (self.model.transform(feature_vector(df)).withColumn(out, vector_to_array("probability")[1])
+                .drop("probability", "rawPrediction", "prediction", "x"))
+
+
+@dataclass(frozen=True)
+class LinearFit:
+    """A logistic model on standardized features; scoring is Column arithmetic."""
+
+    scaler: Scaler
+    intercept: float
+    coefficients: list[float]
     extra: dict
 
     def score(self, df: DataFrame, out: str = "p") -> DataFrame:
-        ready = self.scaler.apply(df) if self.scaler else feature_vector(df)
-        return _probability(self.model, ready, out).drop("x")
+        margin = F.lit(self.intercept)
+        for f, b in zip(self.scaler.features, self.coefficients, strict=True):
+            if b:
+                margin = margin + self.scaler.column(f) * F.lit(b)
+        return df.withColumn(out, 1.0 / (1.0 + F.exp(-margin)))
+
 
+ROWS_PER_TASK = 100_000
 
-def _logistic(n: int, c: float, l1: bool) -> LogisticRegression:
-    """scikit-style strength C becomes 1 / (C n), as Spark averages the loss over rows."""
-    return LogisticRegression(featuresCol="x", labelCol="y", regParam=1.0 / (c * n), elasticNetParam=1.0 if l1 else 0.0,
-                              standardization=False, maxIter=300, tol=1e-8)
 
+def compact(df: DataFrame, rows: int) -> DataFrame:
+    """Fewer partitions for few rows: every solver step is a job with one task per partition.
 
-def fit_logit(train: DataFrame) -> Fitted:
+    Only ever lowers the number, so large inputs keep theirs.
+    """
+    return df.coalesce(max(1, math.ceil(rows / ROWS_PER_TASK)))
+
+
+def fit_logit(train: DataFrame) -> LinearFit:
     """Practically unpenalized logistic regression on standardized features."""
     sc = Scaler.fit(train)
-    ready = sc.apply(train).select("x", "y").persist()
-    try:
-        return Fitted(_logistic(ready.count(), 1e6, False).fit(ready), sc, {})
-    finally:
-        ready.unpersist()
+    n = train.count()
+    # The strength C of the usual toolkits is 1 / (C n) here, as Spark averages the loss over rows.
+    m = LogisticRegression(featuresCol="x", labelCol="y", regParam=1.0 / (1e6 * n), standardization=False, maxIter=200,
+                           tol=1e-8).fit(compact(sc.apply(train).select("x", "y"), n))
+    return LinearFit(sc, float(m.intercept), [float(v) for v in m.coefficients], {})
 
 
 C_GRID = [10 ** (-4 + 8 * i / 19) for i in range(20)]
@@ -122,47 +139,45 @@ def stratified_folds(train: DataFrame, folds: int = 5) -> DataFrame:
             .withColumn("fold", ((F.col("_rn") - 1) % folds).cast("int")).drop("_rn"))
 
 
-def fit_lasso(train: DataFrame, grid: Sequence[float] = C_GRID, folds: int = 5) -> Fitted:
+def fit_lasso(train: DataFrame, grid: Sequence[float] = C_GRID, folds: int = 5) -> LinearFit:
     """L1 logistic regression; strength with the best mean AUC over stratified folds, then a refit.
 
-    Features are scaled once on all training rows. The fits of the grid run side by side; the
-    held-out rows of all fits are scored by one join with the small table of coefficients.
+    Features are scaled once on all training rows. The grid is fitted in a few shared passes, and
+    the held-out rows of all cells are scored by one join with the small table of coefficients.
     """
     sc = Scaler.fit(train)
-    ready = sc.apply(stratified_folds(train, folds)).select("x", "y", "fold").persist()
+    total = train.count()
+    scaled = F.array(*[sc.column(f) for f in sc.features], F.lit(1.0))
+    ready = compact(stratified_folds(train, folds).select(scaled.alias("xs"), F.col("y").cast("double").alias("y"), "fold"),
+                    total).persist()
     try:
-        sizes = {r["fold"]: r["count"] for r in ready.groupBy("fold").count().collect()}
-        total = sum(sizes.values())
-        parts = {f: ready.filter(F.col("fold") != f).persist() for f in range(folds)}
-
-        def one(job: tuple[int, int]) -> tuple[int, int, float, list[float]]:
-            f, i = job
-            m = _logistic(total - sizes.get(f, 0), grid[i], True).fit(parts[f])
-            return f, i, float(m.intercept), [float(v) for v in m.coefficients]
-
-        with ThreadPool(PARALLEL_FITS) as pool:
-            rows = pool.map(one, [(f, i) for f in range(folds) for i in range(len(grid))])
-        coefs = train.sparkSession.createDataFrame(rows, "fold int, c int, b0 double, b array<double>")
-        held = ready.withColumn("xs", vector_to_array("x")).join(F.broadcast(coefs), "fold")
-        margin = F.aggregate(F.zip_with("xs", "b", lambda x, b: x * b), F.col("b0"), lambda a, v: a + v)
+        cells = [(f, c) for f in range(folds) for c in range(len(grid))]
+        fits = l1_grid(ready, len(sc.features), [(f, grid[c]) for f, c in cells])
+        coefs = train.sparkSession.createDataFrame([(*cell, *fit) for cell, fit in zip(cells, fits, strict=True)],
+                                                   "fold int, c int, b0 double, b array<double>")
+        held = ready.join(F.broadcast(coefs), "fold")  # one row per cell of the grid
+        margin = F.aggregate(F.zip_with("xs", "b", lambda x, b: F.coalesce(x * b, F.lit(0.0))), F.col("b0"), lambda a, v: a + v)
         auc = (mt.roc_auc(held.select("fold", "c", "y", margin.alias("s")), "y", "s", ["fold", "c"])
                .groupBy("c").agg(F.avg("roc_auc").alias("auc")).orderBy(F.col("auc").desc(), "c").first())
         best = grid[auc["c"]]
-        model = _logistic(total, best, True).fit(ready)
-        for p in parts.values():
-            p.unpersist()
-        return Fitted(model, sc, {"C": best, "cv_auc": auc["auc"]})
+        b0, b = l1_grid(ready, len(sc.features), [(-1, best)])[0]  # on all rows
+        return LinearFit(sc, b0, b, {"C": best, "cv_auc": auc["auc"]})
     finally:
         ready.unpersist()
 
 
 def fit_forest(train: DataFrame, trees: int = 400) -> Fitted:
     rf = RandomForestClassifier(featuresCol="x", labelCol="y", numTrees=trees, minInstancesPerNode=20,
-                                featureSubsetStrategy="0.5", maxDepth=30, maxBins=64, maxMemoryInMB=1024, seed=SEED)
-    return Fitted(rf.fit(feature_vector(train).select("x", "y")), None, {})
+                                featureSubsetStrategy="0.5", maxDepth=30, maxBins=32, maxMemoryInMB=1024, seed=SEED)
+    rows = feature_vector(train).select("x", "y")
+    # Each task sends its bin statistics of every open node, so on small inputs half the cores do best.
+    few = max(1, train.sparkSession.sparkContext.defaultParallelism // 2)
+    rows = rows.repartition(few) if train.count() <= ROWS_PER_TASK * few else rows
+    return Fitted(rf.fit(rows))
 
 
-FITTERS: dict[str, Callable[[DataFrame], Fitted]] = {"logit": fit_logit, "lasso": fit_lasso, "forest": fit_forest}
+AnyFit = Fitted | LinearFit
+FITTERS: dict[str, Callable[[DataFrame], AnyFit]] = {"logit": fit_logit, "lasso": fit_lasso, "forest": fit_forest}
 
 
 def baseline_scores(test: DataFrame) -> DataFrame:
@@ -172,7 +187,7 @@ def baseline_scores(test: DataFrame) -> DataFrame:
     return test.select("fips", "y").join(long, "fips").select("fips", "y", "model", "p")
 
 
-def evaluate_target(rows: DataFrame, target: str, years: Years, fitted: dict[str, Fitted]) -> DataFrame:
+def evaluate_target(rows: DataFrame, target: str, years: Years, fitted: dict[str, AnyFit]) -> DataFrame:
     """Test-year measures of fitted models and rank baselines: (section, model, measures)."""
     test = rows.filter(F.col("year") == years.test)
     scored = baseline_scores(test).withColumn("section", F.lit("baselines"))
@@ -184,7 +199,7 @@ def evaluate_target(rows: DataFrame, target: str, years: Years, fitted: dict[str
     return out.withColumn("brier", F.when(F.col("section") == "test", F.col("brier")))
 
 
-def fit_models(rows: DataFrame, years: Years, names: Sequence[str] = tuple(FITTERS)) -> dict[str, Fitted]:
+def fit_models(rows: DataFrame, years: Years, names: Sequence[str] = tuple(FITTERS)) -> dict[str, AnyFit]:
     """Fit on the training years only."""
     train = rows.filter(F.col("year").isin(list(years.train)))
     return {n: FITTERS[n](train) for n in names}
@@ -224,13 +239,17 @@ def grouped_cv(rows: DataFrame, years: Years, names: Sequence[str] = ("logit", "
     labelled = rows.filter(F.col("year").isin(list(years.final)))
     with_fold = stage(labelled.join(F.broadcast(fold_table(spark, labelled, "state", folds).select("state", "fold")),
                                     "state"), "folds")
-    scored = None
-    for name in names:
-        for f in range(folds):
-            fit = FITTERS[name](with_fold.filter(F.col("fold") != f))
-            part = fit.score(with_fold.filter(F.col("fold") == f), "p").select(
-                "y", "p", "fold", F.lit(name).alias("model"))
-            scored = part if scored is None else scored.unionByName(part)
+
+    def held_out(job: tuple[str, int]) -> DataFrame:
+        name, f = job
+        fit = FITTERS[name](with_fold.filter(F.col("fold") != f))
+        return fit.score(with_fold.filter(F.col("fold") == f), "p").select("y", "p", "fold", F.lit(name).alias("model"))
+
+    with ThreadPool(PARALLEL_FITS) as workers:  # the fits are independent jobs
+        parts = workers.map(held_out, [(name, f) for name in names for f in range(folds)], chunksize=1)
+    scored = parts[0]
+    for p in parts[1:]:
+        scored = scored.unionByName(p)
     auc = mt.roc_auc(scored, "y", "p", ["model", "fold"])
     return auc.groupBy("model").agg(F.avg("roc_auc").alias("mean_auc"), F.min("roc_auc").alias("min_auc"),
                                     F.max("roc_auc").alias("max_auc"))
@@ -243,7 +262,7 @@ def coefficient_table(train: DataFrame) -> DataFrame:
     """
     sc = Scaler.fit(train, sample=True).varying()
     fit = GeneralizedLinearRegression(family="binomial", featuresCol="x", labelCol="y", maxIter=200, tol=1e-10).fit(
-        sc.apply(train).select("x", "y"))
+        compact(sc.apply(train).select("x", "y"), train.count()))
     s = fit.summary
     se, pv = s.coefficientStandardErrors, s.pValues  # the intercept comes last in both
     rows = [(f, float(fit.coefficients[i]), float(se[i]), float(pv[i])) for i, f in enumerate(sc.features)]
@@ -253,9 +272,9 @@ def coefficient_table(train: DataFrame) -> DataFrame:
                               "ci_hi": F.exp(F.col("coef") + F.col("se") * 1.96)})
 
 
-def linear_coefficients(spark: SparkSession, fitted: Fitted) -> DataFrame:
+def linear_coefficients(spark: SparkSession, fitted: LinearFit) -> DataFrame:
     """(feature, coef) of a linear model on standardized features."""
-    return spark.createDataFrame([(f, float(c)) for f, c in zip(fitted.scaler.features, fitted.model.coefficients,
+    return spark.createDataFrame([(f, float(c)) for f, c in zip(fitted.scaler.features, fitted.coefficients,
                                                                 strict=True)], "feature string, coef double")
 
 
@@ -267,7 +286,7 @@ def largest_features(table: DataFrame, value: str, n: int = 5) -> DataFrame:
     return table.orderBy(F.col(value).desc(), "feature").limit(n)
 
 
-def permutation_importance(fitted: Fitted, test: DataFrame, repeats: int = 5) -> DataFrame:
+def permutation_importance(fitted: AnyFit, test: DataFrame, repeats: int = 5) -> DataFrame:
     """(feature, importance): mean drop of AUC when one feature is shuffled among the test rows.
 
     One shuffle of the rows per repeat serves all features. All shuffled copies are scored together.
@@ -290,7 +309,7 @@ def permutation_importance(fitted: Fitted, test: DataFrame, repeats: int = 5) ->
             .select(label.alias("feature"), "importance"))
 
 
-def score_latest(panel: DataFrame, years: Years, model: str = "logit") -> tuple[DataFrame, dict[str, Fitted]]:
+def score_latest(panel: DataFrame, years: Years, model: str = "logit") -> tuple[DataFrame, dict[str, AnyFit]]:
     """Refit on all labelled years and score the latest feature year.
 
     Adds p_new_site and p_first_site to the rows of that year; p_first_site is 0 where a large

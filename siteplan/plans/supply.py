@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siteplan.operators.cells import nearest_since, weight_within_since
+from siteplan.operators.cells import distinct_points, nearest_since, weight_within_since
 
 MEASURES = ["dcfc_ports", "dcfc_sites", "large_sites", "rival_ports", "own_ports", "own_sites", "new_large_sites_t"]
 RADIUS_MI = 50.0
@@ -56,11 +57,15 @@ def _fold(year: Column, first: int) -> Column:
 
 def spatial_arrays(areas: DataFrame, st: DataFrame, years: Sequence[int], radius_mi: float = RADIUS_MI) -> DataFrame:
     """(cent_lat, cent_lon, near): per year the miles to the nearest large site and ports in reach."""
-    here = areas.select(F.col("cent_lat").alias("lat"), F.col("cent_lon").alias("lon"))
+    here = distinct_points(areas.select(F.col("cent_lat").alias("lat"), F.col("cent_lon").alias("lon")))
     first, last = min(years), max(years)
     st = st.filter(F.col("open_year_filled") <= last).withColumn("since", _fold(F.col("open_year_filled"), first))
-    miles = nearest_since(here, st.filter("is_large").select("lat", "lon", "since"))
-    ports = weight_within_since(here, st.select("lat", "lon", "since", F.col("dc_ports").alias("weight")), radius_mi)
+    large = st.filter("is_large").select("lat", "lon", "since")
+    weights = st.select("lat", "lon", "since", F.col("dc_ports").alias("weight"))
+    with ThreadPool(2) as side_by_side:  # two independent chains of jobs
+        first_job = side_by_side.apply_async(nearest_since, (here, large))
+        second_job = side_by_side.apply_async(weight_within_since, (here, weights, radius_mi))
+        miles, ports = first_job.get(), second_job.get()
     both = (miles.withColumn("weight", F.lit(None).cast("bigint"))
             .unionByName(ports.withColumn("miles", F.lit(None).cast("double"))))
     per_year = [F.struct(
