@@ -10,6 +10,7 @@ where the refinement goes deeper.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -27,6 +28,13 @@ SLACK_MI = 1e-6
 ROWS, COLS = int(180 / TOP_DEG) + 1, int(360 / TOP_DEG)
 
 
+# (level, kept pairs, point pairs per state)
+Level = tuple[int, DataFrame, dict[str, int]]
+
+# Few cell pairs can stand for many point pairs: one task gets about this many of the latter.
+POINT_PAIRS_PER_TASK = 1_000_000
+
+
 def _side(level: int) -> float:
     return TOP_DEG / (1 << (FAN_BITS * level))
 
@@ -66,15 +74,15 @@ def _top_cells() -> Column:
 
 
 def _refine(src: DataFrame, tgt: DataFrame, judge: Callable[[DataFrame], DataFrame],
-            *target_aggs: Column) -> list[tuple[int, DataFrame, set[str]]]:
+            *target_aggs: Column) -> list[Level]:
     """Refine cell pairs until none is open.
 
     ``judge`` receives pairs with ``near`` and ``far`` (bounds on every point distance) and a
     ``cap`` inherited from the parent pair; it returns the pairs to keep with ``state`` =
     'inside' (settled as a whole), 'points' (compare points) or 'open' (refine).
-    Returns per level the kept pairs and the states that occur.
+    Returns per level the kept pairs and the number of point pairs behind each state.
     """
-    out: list[tuple[int, DataFrame, set[str]]] = []
+    out: list[Level] = []
     still_open = None
     for level in range(DEPTH + 1):
         s_nodes, t_nodes = _nodes(src, level, "s"), _nodes(tgt, level, "t", *target_aggs)
@@ -88,25 +96,26 @@ def _refine(src: DataFrame, tgt: DataFrame, judge: Callable[[DataFrame], DataFra
         judged = judge(pairs.withColumn("apart", haversine_miles(s_lat, f"({s_lon})", t_lat, f"({t_lon})")).withColumns({
             "near": F.expr(f"apart - s_rad - t_rad - {SLACK_MI}d"), "far": F.expr(f"apart + s_rad + t_rad + {SLACK_MI}d"),
             "small": F.lit(True) if level == DEPTH else F.expr(f"t_pts <= {LEAF_POINTS}")}))
-        kept = stage(judged.select("s", "t", "cap", "state"), "cellpairs")
-        states = {r["state"] for r in kept.select("state").distinct().collect()}
-        out.append((level, kept, states))
-        if "open" not in states:
+        kept = stage(judged.withColumn("work", F.col("s_pts") * F.col("t_pts")).select("s", "t", "cap", "state", "work"),
+                     "cellpairs")
+        work = {r["state"]: r["work"] for r in kept.groupBy("state").agg(F.sum("work").alias("work")).collect()}
+        out.append((level, kept, work))
+        if "open" not in work:
             return out
         still_open = kept.filter(F.col("state") == "open")
     return out
 
 
 def _point_pairs(src: DataFrame, tgt: DataFrame,
-                 levels: list[tuple[int, DataFrame, set[str]]], *target_cols: str) -> DataFrame:
+                 levels: list[Level], *target_cols: str) -> DataFrame:
     """(lat, lon, target columns, miles) for the pairs that need a look at points."""
     parts = []
-    for level, kept, states in levels:
-        if "points" not in states and level > 0:
-            continue
+    wanted = [lv for lv in levels if "points" in lv[2]] or levels[:1]
+    for level, kept, work in wanted:
+        tasks = math.ceil(work.get("points", 1) / POINT_PAIRS_PER_TASK)
         s = src.withColumn("s", _cell(level))
         t = tgt.select(F.col("lat").alias("t_lat"), F.col("lon").alias("t_lon"), *target_cols, _cell(level).alias("t"))
-        parts.append(kept.filter("state = 'points'").select("s", "t").join(t, "t").join(s, "s")
+        parts.append(kept.filter("state = 'points'").select("s", "t").join(t, "t").repartition(tasks).join(s, "s")
                      .select("lat", "lon", *target_cols, haversine_miles("lat", "lon", "t_lat", "t_lon").alias("miles")))
     out = parts[0]
     for p in parts[1:]:
@@ -165,8 +174,8 @@ def weight_within_since(sources: DataFrame, targets: DataFrame, radius_mi: float
     levels = _refine(src, per_year, judge)
     parts = [_point_pairs(src, per_year, levels, "since", "weight")
              .filter(F.col("miles") <= radius_mi).select("lat", "lon", "since", "weight")]
-    for level, kept, states in levels:
-        if "inside" not in states:
+    for level, kept, work in levels:
+        if "inside" not in work:
             continue
         t = (per_year.groupBy(_cell(level).alias("t"), "since")
              .agg(F.sum("weight").alias("weight")))

@@ -20,6 +20,7 @@ def build_session(app: str = "siteplan", cpus: int | str | None = None,
     """
     b = (SparkSession.builder.appName(app)
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.serializer", "org.apache.spark.serializer.KryoSerializer")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true"))
