@@ -69,7 +69,7 @@ def _(t: Tables) -> DataFrame:
 @query("a6_state_median_price", with_ctes("price", then="""select cast(state as string) as state, round(coalesce(median(price_kwh), -1e0), 9) as price, count(price_kwh) as obs from price group by state
   union all select 'all', round(median(price_kwh), 9), count(price_kwh) from price"""))
 def _(t: Tables) -> DataFrame:
-    rows = prices.priced(t.price_rows())
+    rows = prices.price_counts(prices.priced(t.price_rows()))
     by = prices.state_prices(rows).select(F.col("state").cast("string"), F.round(F.coalesce("dcfc_price_kwh", F.lit(-1.0)), 9).alias("price"), F.col("price_obs").alias("obs"))
     return by.unionByName(prices.national_price(rows).select(F.lit("all").alias("state"), F.round("national", 9).alias("price"), "obs"))
 

@@ -53,9 +53,10 @@ def _long_values(df: DataFrame, columns: Mapping[str, Column], keep: Sequence[st
     return df.select(*keep, F.inline(items))
 
 
-def _value_ranks(values: DataFrame, by: Sequence[str]) -> DataFrame:
+def _value_ranks(values: DataFrame, by: Sequence[str], weight: str | None = None) -> DataFrame:
     """(by, _name, _value, _n, _upto): distinct values, their counts and running counts."""
-    counts = values.groupBy(*by, "_name", "_value").agg(F.count("*").alias("_n"))
+    size = F.count("*") if weight is None else F.sum(weight)
+    counts = values.groupBy(*by, "_name", "_value").agg(size.alias("_n"))
     return prefix_sums(counts, [F.col("_value").asc()], {"_upto": "_n"}, [*by, "_name"])
 
 
@@ -80,13 +81,15 @@ def percentile_ranks(df: DataFrame, key: str, columns: Mapping[str, tuple[Column
 
 
 def exact_quantiles(df: DataFrame, columns: Mapping[str, Column], probs: Sequence[float],
-                    by: Sequence[str] = ()) -> DataFrame:
+                    by: Sequence[str] = (), weight: str | None = None) -> DataFrame:
     """Linear-interpolated quantiles: (by, name, n, q) with ``q`` an array in the order of ``probs``.
 
-    Works on value counts, so neither a hot group nor many distinct values meet in one task.
+    Works on value counts, so neither a hot group nor many distinct values meet in one task. With
+    ``weight``, a row stands for that many equal rows.
     """
-    values = _long_values(df, columns, by).filter(F.col("_value").isNotNull())
-    ranks = _value_ranks(values, list(by))
+    keep = [*by, weight] if weight else by
+    values = _long_values(df, columns, keep).filter(F.col("_value").isNotNull())
+    ranks = _value_ranks(values, list(by), weight)
     sizes = ranks.groupBy(*by, "_name").agg(F.max("_upto").alias("_total"))
 
     def at(index: Column) -> Column:
@@ -107,13 +110,16 @@ def exact_quantiles(df: DataFrame, columns: Mapping[str, Column], probs: Sequenc
                         F.array(*[interpolate(i, p) for i, p in enumerate(probs)]).alias("q"))
 
 
-def medians(df: DataFrame, columns: Mapping[str, Column], by: Sequence[str] = ()) -> DataFrame:
+def medians(df: DataFrame, columns: Mapping[str, Column], by: Sequence[str] = (),
+            weight: str | None = None) -> DataFrame:
     """Exact medians and non-null counts: (by, <name>, <name>_n for each entry).
 
     A group without any value has a null median and a count of 0.
     """
-    counts = df.groupBy(*by).agg(*[F.count(c).alias(f"{n}_n") for n, c in columns.items()])
-    q = exact_quantiles(df, columns, [0.5], by)
+    one = F.lit(1) if weight is None else F.col(weight)
+    counts = df.groupBy(*by).agg(*[F.coalesce(F.sum(F.when(c.isNotNull(), one)), F.lit(0)).alias(f"{n}_n")
+                                   for n, c in columns.items()])
+    q = exact_quantiles(df, columns, [0.5], by, weight)
     mid = q.groupBy(*by).agg(*[F.max(F.when(F.col("name") == n, F.col("q")[0])).alias(n) for n in columns])
     if by:
         return counts.join(mid, list(by), "left")

@@ -109,7 +109,8 @@ class LinearFit:
         return df.withColumn(out, 1.0 / (1.0 + F.exp(-margin)))
 
 
-ROWS_PER_TASK = 100_000
+ROWS_PER_TASK = 20_000
+CELL_ROWS_PER_TASK = 500_000
 
 
 def compact(df: DataFrame, rows: int) -> DataFrame:
@@ -145,15 +146,18 @@ def fit_lasso(train: DataFrame, grid: Sequence[float] = C_GRID, folds: int = 5)
     Features are scaled once on all training rows. The grid is fitted in a few shared passes, and
     the held-out rows of all cells are scored by one join with the small table of coefficients.
     """
+    spark = train.sparkSession
     sc = Scaler.fit(train)
     total = train.count()
     scaled = F.array(*[sc.column(f) for f in sc.features], F.lit(1.0))
-    ready = compact(stratified_folds(train, folds).select(scaled.alias("xs"), F.col("y").cast("double").alias("y"), "fold"),
-                    total).persist()
+    dealt = stratified_folds(train, folds).select(scaled.alias("xs"), F.col("y").cast("double").alias("y"), "fold")
+    # A pass costs rows x cells of the grid: spread that work, up to the usual number of partitions.
+    most = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ready = dealt.repartition(min(most, math.ceil(total * folds * len(grid) / CELL_ROWS_PER_TASK))).persist()
     try:
         cells = [(f, c) for f in range(folds) for c in range(len(grid))]
         fits = l1_grid(ready, len(sc.features), [(f, grid[c]) for f, c in cells])
-        coefs = train.sparkSession.createDataFrame([(*cell, *fit) for cell, fit in zip(cells, fits, strict=True)],
+        coefs = spark.createDataFrame([(*cell, *fit) for cell, fit in zip(cells, fits, strict=True)],
                                                    "fold int, c int, b0 double, b array<double>")
         held = ready.join(F.broadcast(coefs), "fold")  # one row per cell of the grid
         margin = F.aggregate(F.zip_with("xs", "b", lambda x, b: F.coalesce(x * b, F.lit(0.0))), F.col("b0"), lambda a, v: a + v)
