@@ -261,7 +261,7 @@ def _(t: Tables) -> DataFrame:
 
 
 @query("a13_portfolio_figures", with_ctes("picks", then=f"""select count(*) as sites, sum(cost) as capital, count(distinct fips) as counties, count(distinct state) as states,
-  round(sum(513920e0 * dcfc_price_kwh), 2) as revenue, round(sum(m), 2) as margin, round(sum(cost) / sum(m), 6) as payback_years
+  round(sum(513920e0 * dcfc_price_kwh), 2) as revenue, round(sum(m), 2) as margin, round(case when sum(m) > 0 then sum(cost) / sum(m) end, 6) as payback_years
   from (select *, 513920e0 * dcfc_price_kwh - 513920e0 * (elec_price_c_kwh / 100 + {ADDER}) as m from picks join rated using (fips)) q"""))
 def _(t: Tables) -> DataFrame:
     picks, _ = portfolio.plan(t.components())
