@@ -16,7 +16,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 def lookup(df: DataFrame, table: DataFrame, on: Sequence[str], spread: Sequence[Column], how: str = "left",
            salts: int = SALTS) -> DataFrame:
     """Join ``table`` (one small row per key) to ``df``; every key is split over ``salts`` tasks by ``spread``."""
-    many = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+    many = table.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
     return (df.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)))
             .join(many, [*on, "_salt"], how).drop("_salt"))
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteplan.llm import merkle, sharding
+from siteplan.llm import merkle, minhash, packing, sharding
 from siteplan.session import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +46,23 @@ def op7_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text).alias("text_crc32")), "shard_rows")
     return sharding.shuffle_rows(light, 40, seed=7).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def tokenizer_files() -> tuple[str, str]:
+    """The vocabulary's JSON file and the same vocabulary as ranks."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+@query
+def op5_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token pieces packed into sequences of 2048."""
+    return packing.packed(table(spark, sf_dir, "documents"), *tokenizer_files())
+
+
+@query
+def op6_minhash_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near-duplicate documents (similarity 0.85 of 5-word shingles)."""
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), (85, 100))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
