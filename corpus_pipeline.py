@@ -6,10 +6,39 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from siteplan.llm import decontam, langid, minhash, packing, toxicity
+from siteplan.llm.queries import TOXIC, table, tokenizer_files
 from siteplan.session import stage
 
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the four languages."""
+    return langid.in_language(docs)
+
+
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not toxic, by a model learned from the labels of these documents."""
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"), TOXIC)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near-duplicates (similarity 0.85 of 5-word shingles)."""
+    return minhash.distinct_documents(docs, (85, 100))
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of a benchmark item."""
+    return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of all documents, placed in sequences of 2048."""
+    return packing.packed(docs, *tokenizer_files())
+
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-STAGES: list[tuple[str, Stage]] = []
+STAGES: list[tuple[str, Stage]] = [("language", language), ("toxicity", toxic), ("near_duplicates", near_duplicates),
+                                   ("decontamination", benchmark), ("packing", packed)]
 ORACLE_SQL = None  # trained models, hashing and tokenizers: see tests/llm
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteplan.llm import merkle, minhash, packing, sharding
+from siteplan.llm import decontam, langid, licenses, merkle, minhash, packing, quotes, sharding, toxicity, urltree
 from siteplan.session import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,56 @@ def op6_minhash_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of near-duplicate documents (similarity 0.85 of 5-word shingles)."""
     found = minhash.near_duplicates(table(spark, sf_dir, "documents"), (85, 100))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query
+def op3_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License labels of every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_spaced_seed_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage, with the passage's place."""
+    return decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
+@query
+def op1_language_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all pages from their text, markup, address suffix and host; the text model learns from documents."""
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id", langid.markup_text(F.col("html")).alias("text"), langid.markup_language(F.col("html")).alias("declared"),
+        langid.host_of(F.col("url")).alias("host"))
+    return langid.identify(pages, langid.fit(table(spark, sf_dir, "documents")), ["page_id"])
+
+
+TOXIC = 0.3
+
+
+@query
+def op2_positive_unlabelled_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return (toxicity.scored(docs, model).withColumn("held_out", toxicity.held_out(F.col("doc_id")))
+            .select("doc_id", "held_out", "score", (F.col("score") >= TOXIC).cast("int").alias("predicted")))
+
+
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+@query
+def op9_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all pages. A page's path ends with its document's number: that document's label is the page's."""
+    number = F.regexp_extract(urltree.path_of(F.col("url")), r"([0-9]{1,18})[^0-9]*$", 1)
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(
+        F.max(((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")).alias("bad"))
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", F.when(number != "", number).cast("long").alias("doc_id"))
+    found = urltree.filtered(pages.join(labels, "doc_id", "left"), URL_RULES)
+    return found.select("page_id", "host", "path", "rule", "verdict", "template", "purity")
+
+
+@query
+def op10_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations in reply order without quotes."""
+    return quotes.conversations(table(spark, sf_dir, "conversations"))
