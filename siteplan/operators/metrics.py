@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siteplan.operators.keys import join_on
 from siteplan.operators.ordering import exact_quantiles, prefix_sums, row_numbers
 
 
@@ -26,10 +27,7 @@ def _totals(steps: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def _with_totals(steps: DataFrame, by: Sequence[str]) -> DataFrame:
-    totals = _totals(steps, by)
-    if by:
-        return steps.join(totals, list(by))
-    return steps.withColumns({c: totals.select(c).scalar() for c in ("rows", "positives")})
+    return join_on(steps, _totals(steps, by), by)
 
 
 def ranking_metrics(steps: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -72,7 +70,7 @@ def precision_cuts(scored: DataFrame, label: str, score: str, key: str, k: Colum
     ranked = row_numbers(scored.select(*by, key, label, score, F.lit(k).alias("_k") if isinstance(k, int)
                                        else k.alias("_k")), [F.col(score).desc(), F.col(key).asc()], "_rank", by)
     totals = scored.groupBy(*by).agg(F.sum(label).alias("_pos"))
-    ranked = ranked.join(totals, list(by)) if by else ranked.withColumn("_pos", totals.scalar())
+    ranked = join_on(ranked, totals, by)
     y, r = F.col(label).cast("double"), F.col("_rank")
     return ranked.groupBy(*by).agg(
         F.avg(F.when(r <= F.col("_k"), y)).alias("precision_at_k"),
@@ -90,17 +88,14 @@ def evaluate(scored: DataFrame, label: str, score: str, key: str, k: Column | in
     """All measures of a scored test set, one row per group."""
     parts = [ranking_metrics(score_steps(scored, label, score, by), by),
              precision_cuts(scored, label, score, key, k, by), brier(scored, label, score, by)]
-    if by:
-        return parts[0].join(parts[1], list(by)).join(parts[2], list(by))
-    both = parts[1].withColumn("_j", F.lit(1)).join(parts[2].withColumn("_j", F.lit(1)), "_j")
-    return parts[0].withColumn("_j", F.lit(1)).join(both, "_j").drop("_j")
+    return join_on(join_on(parts[0], parts[1], by), parts[2], by)
 
 
 def quantile_bins(df: DataFrame, value: str, bins: int = 10, by: Sequence[str] = (), out: str = "bin") -> DataFrame:
     """Add the 0-based quantile bin: linear-interpolated edges, duplicates dropped, right-closed."""
     edges = exact_quantiles(df, {value: F.col(value)}, [i / bins for i in range(bins + 1)], by).select(
         *by, F.array_distinct("q").alias("_edges"))
-    with_edges = (df.join(edges, list(by)) if by else df.withColumn("_edges", edges.scalar()))
+    with_edges = join_on(df, edges, by)
     inner = F.slice("_edges", F.lit(2), F.greatest(F.size("_edges") - 2, F.lit(0)))
     return with_edges.withColumn(out, F.size(F.filter(inner, lambda e: e < F.col(value)))).drop("_edges")
 

@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siteplan.operators.keys import join_on
 from siteplan.session import stage
 
 
@@ -33,8 +34,7 @@ def prefix_sums(df: DataFrame, order: Sequence[Column], sums: Mapping[str, str],
                                        for src in set(sums.values())]))
     inside = (Window.partitionBy(*by, "_slice").orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (placed.withColumns({new: F.sum(src).over(inside) for new, src in sums.items()})
-            .join(before, [*by, "_slice"])
+    return (join_on(placed.withColumns({new: F.sum(src).over(inside) for new, src in sums.items()}), before, [*by, "_slice"])
             .withColumns({new: F.col(new) + F.col(f"_b_{src}") for new, src in sums.items()})
             .drop("_slice", *[f"_b_{src}" for src in set(sums.values())]))
 
@@ -100,7 +100,7 @@ def exact_quantiles(df: DataFrame, columns: Mapping[str, Column], probs: Sequenc
     for i, p in enumerate(probs):
         spot = (F.col("_total") - 1) * float(p)
         aggs += [at(F.floor(spot)).alias(f"_lo{i}"), at(F.ceil(spot)).alias(f"_hi{i}")]
-    cells = ranks.join(sizes, [*by, "_name"]).groupBy(*by, "_name", "_total").agg(*aggs)
+    cells = join_on(ranks, sizes, [*by, "_name"]).groupBy(*by, "_name", "_total").agg(*aggs)
 
     def interpolate(i: int, p: float) -> Column:
         spot = (F.col("_total") - 1) * float(p)
@@ -122,16 +122,10 @@ def medians(df: DataFrame, columns: Mapping[str, Column], by: Sequence[str] = ()
     q = exact_quantiles(df, columns, [0.5], by, weight)
     mid = q.groupBy(*by).agg(*[F.max(F.when(F.col("name") == n, F.col("q")[0])).alias(n) for n in columns])
     if by:
-        return counts.join(mid, list(by), "left")
+        return join_on(counts, mid, list(by), "left")
     return counts.withColumns({n: mid.select(n).scalar() for n in columns})
 
 
-# Sorting this many rows in one task is cheap; beyond it the order is built in slices.
-SMALL_TOP = 10_000
-
-
 def top_rows(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
-    """First ``n`` rows of a total order: a bounded heap for small n, slices for large n."""
-    if n <= SMALL_TOP:
-        return df.orderBy(*order).limit(max(n, 0))
+    """First ``n`` rows of a total order, for any n: whole slices are placed, none is sorted in one task."""
     return row_numbers(df, order, "_rn").filter(F.col("_rn") <= n).drop("_rn")
