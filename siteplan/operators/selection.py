@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siteplan.operators.ordering import SMALL_TOP, prefix_sums, row_numbers, top_rows
+from siteplan.operators.ordering import prefix_sums, row_numbers, top_rows
 from siteplan.session import stage
 
+MICRO = 1_000_000  # costs are summed as whole millionths, so that the order of summing can't matter
 BY_VALUE = [("value", False), ("k", True), ("fips", True)]
 
 
@@ -51,22 +50,16 @@ def select_greedy(cand: DataFrame, budget: float) -> DataFrame:
     drop the item that overflows and everything dearer than what is left, each with its later
     siblings, and repeat. What is left only shrinks, so a dropped item could never fit later.
     After the first round the rest is below one site cost, so at most max cost / min cost rounds
-    follow, and each looks only at as many items as the rest could buy.
+    follow, and each writes only the place and cost of the items that still fit.
     """
-    ordered = row_numbers(cand, ratio_order(), "pos")
-    live = stage(_chain_ok(ordered).filter(F.col("cost") <= budget), "live")
-    left, taken = budget, []
+    ordered = row_numbers(cand, ratio_order(), "pos").withColumn("_micro", F.round(F.col("cost") * MICRO).cast("bigint"))
+    left, taken = round(budget * MICRO), []
+    live = stage(_chain_ok(ordered).filter(F.col("_micro") <= left), "live")
     while True:
-        low = live.agg(F.min("cost")).first()[0]
+        low = live.agg(F.min("_micro")).first()[0]
         if low is None or low > left:
             break
-        look = int(left // low) + 1 if low > 0 else math.inf
-        if look <= SMALL_TOP:
-            head = live.orderBy("pos").limit(look)
-            run = head.withColumn("spent", F.sum("cost").over(Window.orderBy("pos").rowsBetween(
-                Window.unboundedPreceding, Window.currentRow)))  # at most SMALL_TOP rows
-        else:
-            run = prefix_sums(live, [F.col("pos").asc()], {"spent": "cost"})
+        run = prefix_sums(live.select("pos", "_micro"), [F.col("pos").asc()], {"spent": "_micro"})
         fits = F.col("spent") <= left
         r = run.agg(F.max(F.when(fits, F.col("pos"))).alias("last"), F.max(F.when(fits, F.col("spent"))).alias("spent"),
                     F.min(F.when(~fits, F.col("pos"))).alias("over")).first()
@@ -75,7 +68,7 @@ def select_greedy(cand: DataFrame, budget: float) -> DataFrame:
         if r["over"] is None:
             break
         rest = live.filter(F.col("pos") > F.lit(r["last"]))
-        dead = ((F.col("pos") == F.lit(r["over"])) | (F.col("cost") > left)).cast("int")
+        dead = ((F.col("pos") == F.lit(r["over"])) | (F.col("_micro") > left)).cast("int")
         chain = Window.partitionBy("fips").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
         live = stage(rest.withColumn("_dead", F.max(dead).over(chain)).filter("_dead = 0").drop("_dead"), "live")
     if not taken:

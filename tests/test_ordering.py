@@ -28,15 +28,14 @@ def test_percentile_rank_equals_pandas(frame):
     assert np.allclose(got, pdf["v"].rank(pct=True))
 
 
-def test_row_numbers_and_top(frame, monkeypatch):
+def test_row_numbers_and_top(frame):
     pdf, df = frame
     got = ordering.row_numbers(df, [F.col("v").desc(), F.col("k").asc()], "rn", ["g"]).toPandas()
     want = pdf.sort_values(["v", "k"], ascending=[False, True]).assign(w=lambda d: d.groupby("g").cumcount() + 1)
     assert got.merge(want, on="k").eval("rn == w").all()
     order = [F.col("v").desc(), F.col("k").asc()]
-    small = {r["k"] for r in ordering.top_rows(df, order, 700).collect()}
-    monkeypatch.setattr(ordering, "SMALL_TOP", 10)
-    assert {r["k"] for r in ordering.top_rows(df, order, 700).collect()} == small
+    top = set(pdf.sort_values(["v", "k"], ascending=[False, True]).head(700)["k"])
+    assert {r["k"] for r in ordering.top_rows(df, order, 700).collect()} == top
 
 
 def test_quantiles_and_medians(frame):
