@@ -24,7 +24,7 @@ from siteplan.session import stage
 LANGUAGES = ("de", "en", "es", "fr")
 UNKNOWN = "und"
 FIT_ROWS = 8000  # labelled texts that the text model is fitted to, at most
-BUCKETS = 1 << 16
+BUCKETS = 1 << 20
 TEMPER = 1 / 3  # every byte lies in three trigrams
 STRENGTH = 20.0  # rows that a level's parent counts for
 DECLARED_RIGHT, DECLARED_STRENGTH = 0.9, 50.0
@@ -62,14 +62,18 @@ def fit(labelled: DataFrame, languages: Sequence[str] = LANGUAGES, rows: int = F
     names = list(languages)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(names), BUCKETS), np.int64)
+        total = np.zeros((len(names), BUCKETS), np.int32)
         for batch in batches:
+            found: list[list[np.ndarray]] = [[] for _ in names]
             for raw, lang in zip(raw_texts(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                total[names.index(lang)] += np.bincount(trigrams(raw), minlength=BUCKETS)
+                found[names.index(lang)].append(trigrams(raw))
+            for k, x in enumerate(found):
+                if x:
+                    total[k] += np.bincount(np.concatenate(x), minlength=BUCKETS).astype(np.int32)
         k, b = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(total[k, b])], ["k", "b", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(b.astype(np.int32)), pa.array(total[k, b].astype(np.int64))], ["k", "b", "n"])
 
-    counts = np.full((BUCKETS, len(names)), 0.5)
+    counts = np.full((BUCKETS, len(names)), 1e-3)
     if last is not None:
         got = (known.filter(F.col("_h") <= last).select("text", "lang").mapInArrow(count, "k int, b int, n long")
                .groupBy("k", "b").agg(F.sum("n").alias("n")).toPandas())
@@ -122,18 +126,18 @@ def identify(rows: DataFrame, model: np.ndarray, keys: Sequence[str], languages:
             soft /= soft.sum(axis=1, keepdims=True)
             lists = [pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, size, dtype=np.int32)), pa.array(x.reshape(-1))) for x in (like, soft)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:at], *batch.columns[at + 1:], pa.array(n), *lists],
-                                             [*keys, "declared", "host", "n_grams", "like", "soft"])
+                                             [*keys, "declared", "host", "_n_grams", "_like", "_soft"])
 
     known = F.lower(F.substring(F.trim("declared"), 1, 2))
     light = rows.select(*keys, F.col("text").cast("string"),
                         F.when(F.length(F.trim("declared")) > 0, F.when(known.isin(*languages), known).otherwise("other")).alias("declared"),
                         F.coalesce(F.col("host"), F.lit("")).alias("host"))
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in light.schema.fields if f.name in keys)
-    seen = stage(light.mapInArrow(read, f"{types}, declared string, host string, n_grams long, like array<double>, soft array<double>"), "language_evidence")
+    seen = stage(light.mapInArrow(read, f"{types}, declared string, host string, _n_grams long, _like array<double>, _soft array<double>"), "language_evidence")
 
-    sums = [F.sum(F.col("soft")[i]).alias(f"_{i}") for i in range(size)]
+    sums = [F.sum(F.col("_soft")[i]).alias(f"_{i}") for i in range(size)]
     packed = F.array(*[f"_{i}" for i in range(size)])
-    lettered = seen.filter("n_grams > 0")
+    lettered = seen.filter("_n_grams > 0")
 
     # P(declared | language): one row per declared value, at most one more than languages.
     told = {r[0]: np.array(r[1]) for r in lettered.filter("declared is not null").groupBy("declared").agg(*sums).select("declared", packed).collect()}
@@ -145,24 +149,24 @@ def identify(rows: DataFrame, model: np.ndarray, keys: Sequence[str], languages:
 
     # Soft counts per host, domain (last two labels), suffix (last label) and in total.
     part = F.split("host", r"\.")
-    hosts = stage(lettered.groupBy("host").agg(*sums).withColumn("own", packed)
-                  .withColumn("domain", F.array_join(F.slice(part, F.greatest(F.size(part) - 1, F.lit(1)), 2), "."))
-                  .withColumn("suffix", F.element_at(part, -1)).select("host", "domain", "suffix", "own"), "hosts")
+    hosts = stage(lettered.groupBy("host").agg(*sums).withColumn("_own", packed)
+                  .withColumn("_part_domain", F.array_join(F.slice(part, F.greatest(F.size(part) - 1, F.lit(1)), 2), "."))
+                  .withColumn("_part_suffix", F.element_at(part, -1)).select("host", "_part_domain", "_part_suffix", "_own"), "hosts")
 
     def level(by: list[str], name: str) -> DataFrame:
-        return hosts.groupBy(*by).agg(*[F.sum(F.col("own")[i]).alias(f"_{i}") for i in range(size)]).select(*by, packed.alias(name))
+        return hosts.groupBy(*by).agg(*[F.sum(F.col("_own")[i]).alias(f"_{i}") for i in range(size)]).select(*by, packed.alias(name))
 
-    total = hosts.agg(*[F.sum(F.col("own")[i]).alias(f"_{i}") for i in range(size)]).first()
+    total = hosts.agg(*[F.sum(F.col("_own")[i]).alias(f"_{i}") for i in range(size)]).first()
     everything = [float(x or 0) for x in total]
-    prior = (lookup(lookup(hosts, level(["domain"], "in_domain"), ["domain"], [F.col("host")]), level(["suffix"], "in_suffix"), ["suffix"], [F.col("host")])
-             .select("host", "own", "in_domain", "in_suffix", "suffix"))
+    prior = (lookup(lookup(hosts, level(["_part_domain"], "_in_domain"), ["_part_domain"], [F.col("host")]), level(["_part_suffix"], "_in_suffix"), ["_part_suffix"], [F.col("host")])
+             .select("host", "_own", "_in_domain", "_in_suffix", "_part_suffix"))
 
     def floats(xs: Sequence[float]) -> Column:
         return F.array(*[F.lit(float(x)) for x in xs])
 
     def toward(counts: Column, parent: Column) -> Column:
         """Counts without the row's own, smoothed to the parent level."""
-        rest = F.zip_with(F.coalesce(counts, F.col("soft")), "soft", lambda c, q: F.greatest(c - q, F.lit(0.0)))
+        rest = F.zip_with(F.coalesce(counts, F.col("_soft")), "_soft", lambda c, q: F.greatest(c - q, F.lit(0.0)))
         n = F.aggregate(rest, F.lit(0.0), lambda a, x: a + x)
         return F.zip_with(rest, parent, lambda c, p: (c + STRENGTH * p) / (n + STRENGTH))
 
@@ -170,26 +174,26 @@ def identify(rows: DataFrame, model: np.ndarray, keys: Sequence[str], languages:
     country = F.lit(None).cast("array<double>")
     for suffix, lang in COUNTRY.items():
         if lang in languages:
-            country = F.when(F.col("suffix") == suffix, floats([0.5 * (x == lang) for x in names])).otherwise(country)
+            country = F.when(F.col("_part_suffix") == suffix, floats([0.5 * (x == lang) for x in names])).otherwise(country)
     out = lookup(seen, prior, ["host"], [F.xxhash64(*keys)])
     step = out.withColumn("_all", toward(floats(everything), uniform))
     step = step.withColumn("_tld", F.coalesce(F.zip_with("_all", country, lambda p, c: 0.5 * p + c), F.col("_all")))
-    step = step.withColumn("_suffix", toward(F.col("in_suffix"), F.col("_tld")))
-    step = step.withColumn("_domain", toward(F.col("in_domain"), F.col("_suffix")))
-    step = step.withColumn("_host", toward(F.col("own"), F.col("_domain")))
+    step = step.withColumn("_suffix", toward(F.col("_in_suffix"), F.col("_tld")))
+    step = step.withColumn("_domain", toward(F.col("_in_domain"), F.col("_suffix")))
+    step = step.withColumn("_host", toward(F.col("_own"), F.col("_domain")))
     claim = floats([0.0] * size)
     for k, d in enumerate(values):
         claim = F.when(F.col("declared") == d, floats(log_declared[k])).otherwise(claim)
     step = step.withColumn("_claim", claim)
-    step = step.withColumn("_log", F.zip_with(F.zip_with("like", F.transform("_host", lambda x: F.log(x)), lambda a, b: a + b), "_claim", lambda a, b: a + b))
+    step = step.withColumn("_log", F.zip_with(F.zip_with("_like", F.transform("_host", lambda x: F.log(x)), lambda a, b: a + b), "_claim", lambda a, b: a + b))
     step = step.withColumn("_top", F.array_max("_log"))
     step = step.withColumn("_post", F.transform("_log", lambda x: F.exp(x - F.col("_top"))))
     step = step.withColumn("_sum", F.aggregate("_post", F.lit(0.0), lambda a, x: a + x))
     name = F.array(*[F.lit(x) for x in names])
-    none = F.col("n_grams") == 0
+    none = F.col("_n_grams") == 0
     best = F.array_position("_log", F.col("_top")).cast("int")
     return step.select(*keys, "host", "declared",
-                       F.when(none, F.lit(UNKNOWN)).otherwise(F.element_at(name, F.array_position("like", F.array_max("like")).cast("int"))).alias("text_lang"),
+                       F.when(none, F.lit(UNKNOWN)).otherwise(F.element_at(name, F.array_position("_like", F.array_max("_like")).cast("int"))).alias("text_lang"),
                        F.when(none, F.lit(UNKNOWN)).otherwise(F.element_at(name, best)).alias("lang"),
                        F.when(none, F.lit(1.0)).otherwise(1 / F.col("_sum")).alias("confidence"))
 

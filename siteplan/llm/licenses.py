@@ -127,7 +127,7 @@ PHRASES = [
 
 def rules() -> list[dict]:
     """All rules in order: base places, tags, names, names with a grant, addresses, creative commons, phrases."""
-    out = [(label, 0, words, words) for label, words in BASE]
+    out = [(label, 2, words, words) for label, words in BASE]
     for label, word, name, short in LICENSES:
         out += [(label, 0, "spdx", rf"spdx license identifier {short}"),
                 (label, 1, word, name),

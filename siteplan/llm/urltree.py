@@ -4,7 +4,7 @@ Paths are cut into segments; digit runs become ``#``. Level by level, per host a
 holds enough of the prefix's URLs, all others become ``*``: so a node has at most ``1 / LEAST_SHARE`` literal children
 and a wildcard. Leaves below one parent whose label shares do not differ significantly are merged. A template is rejected
 when its purity, the share of good ones among its labelled URLs smoothed towards its host's and that towards the
-overall share, is too low. The tree is built on counts per distinct path shape, never on single URLs.
+overall share, is too low; a branch without any label is never rejected. The tree is built on counts per distinct path shape, never on single URLs.
 """
 
 from __future__ import annotations
@@ -106,10 +106,10 @@ def judged(urls: DataFrame, depth: int = DEPTH, least_purity: float = LEAST_PURI
     hosts = good.select("host", ((F.col("_g") + STRENGTH * overall) / (F.col("_l") + STRENGTH)).alias("_host"))
     branches = merged.groupBy("host", "parent", "branch").agg(F.sum("good").alias("_g"), F.sum(F.col("good") + F.col("bad")).alias("_l"))
     pure = lookup(branches, hosts, ["host"], [F.xxhash64("parent", "branch")]).withColumn(
-        "purity", (F.col("_g") + STRENGTH * F.col("_host")) / (F.col("_l") + STRENGTH))
-    by_leaf = merged.select("host", "parent", "template", "branch").join(pure.select("host", "parent", "branch", "purity"), ["host", "parent", "branch"])
-    return (lookup(nodes.select("host", "shape", "parent", "template"), by_leaf, ["host", "parent", "template"], [F.xxhash64("shape")])
-            .withColumn("rejected", F.col("purity") < least_purity).drop("parent"))
+        "purity", (F.col("_g") + STRENGTH * F.col("_host")) / (F.col("_l") + STRENGTH)).withColumn("rejected", (F.col("purity") < least_purity) & (F.col("_l") > 0))
+    by_leaf = merged.select("host", "parent", "template", "branch").join(
+        pure.select("host", "parent", "branch", "purity", "rejected"), ["host", "parent", "branch"])
+    return lookup(nodes.select("host", "shape", "parent", "template"), by_leaf, ["host", "parent", "template"], [F.xxhash64("shape")]).drop("parent")
 
 
 def filtered(pages: DataFrame, rules: Sequence[tuple[str, str, str]], key: str = "page_id", depth: int = DEPTH,
