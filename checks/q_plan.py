@@ -38,7 +38,7 @@ def net_sql(weights: dict[str, float] | None = None) -> str:
 
 CTES["rated"] = (["app"], f"""select *, net_opportunity * (1 - saturation * 0.5e0) as future_deployment
   from (select *, {net_sql()} as net_opportunity from app) q""")
-BASE_COST = cost.site_cost()
+BASE_COST = Controls().unit_cost()
 CTES["cand"] = (["rated"], f"""select * from (select fips, k.k, future_deployment * pow(0.5e0, own_sites + k.k - 1) as value, {BASE_COST}e0 as cost
   from rated cross join (select unnest([1, 2]) as k) k) q where value > 0""")
 CTES["picks"] = (["cand"], """select *, row_number() over (order by value desc, k, fips) as rank from cand

@@ -107,7 +107,7 @@ def _override(t: Tables) -> DataFrame:
   select case when fips = '0000000003' then '9000000003' else fips end as fips, round(fwy_vmt, 2) as fwy_vmt,
     round(fwy_miles, 4) as fwy_miles, round(interstate_miles, 4) as interstate_miles, traffic_imputed, fwy_miles > 0 as has_freeway from fin""")
 def _(t: Tables) -> DataFrame:
-    out = loaders.traffic(t.raw_traffic(), _override(t), _mapping(t), override_prefix="00000002")
+    out = loaders.traffic(t.raw_traffic(), _override(t), _mapping(t), override_prefix="00000002", width=10)
     return rounded(out, {"fwy_vmt": 2, "fwy_miles": 4, "interstate_miles": 4})
 
 

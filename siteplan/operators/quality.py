@@ -16,6 +16,15 @@ def require_columns(df: DataFrame, columns: Sequence[str], source: str) -> DataF
     return df
 
 
+def assert_codes(df: DataFrame, code: str, source: str) -> DataFrame:
+    """Raise with the first five values of ``code`` that are not whole numbers; a null is one of them."""
+    number = F.trim(F.col(code).cast("string")).try_cast("bigint")
+    bad = [r[0] for r in df.filter(number.isNull()).select(code).orderBy(code).limit(5).collect()]
+    if bad:
+        raise ValueError(f"{source}: {code} must be whole numbers, found {bad}")
+    return df
+
+
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their counts."""
     return df.groupBy(*key).agg(F.count("*").alias("n")).filter(F.col("n") > 1)

@@ -9,6 +9,7 @@ whole grid.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -19,10 +20,19 @@ MAX_PASSES = 40
 TOLERANCE = 1e-6
 
 
+@dataclass(frozen=True)
+class Cell:
+    """One fit; ``converged`` is false if its last step was still above the tolerance after all passes."""
+
+    intercept: float
+    coefficients: list[float]
+    converged: bool
+
+
 def _cell_sums(x: np.ndarray, y: np.ndarray, beta: np.ndarray, upper: tuple) -> np.ndarray:
     """Upper triangle of the curvature, gradient and loss of one cell on some rows."""
     m = x @ beta
-    p = 1.0 / (1.0 + np.exp(-m))
+    p = np.exp(-np.logaddexp(0.0, -m))
     curve = (x * (p * (1 - p))[:, None]).T @ x
     loss = np.logaddexp(0.0, m).sum() - y @ m
     return np.concatenate([curve[upper], x.T @ (y - p), [loss]])
@@ -81,8 +91,8 @@ def _step(curve: np.ndarray, grad: np.ndarray, beta: np.ndarray, pen: np.ndarray
     return np.stack([_polish(curve[i], target[i], new[i], pen[i]) for i in range(len(new))])
 
 
-def l1_grid(rows: DataFrame, features: int, cells: Sequence[tuple[int, float]]) -> list[tuple[float, list[float]]]:
-    """(intercept, coefficients) per cell (held-out fold, strength C), in the order of ``cells``.
+def l1_grid(rows: DataFrame, features: int, cells: Sequence[tuple[int, float]]) -> list[Cell]:
+    """One fit per cell (held-out fold, strength C), in the order of ``cells``.
 
     ``rows`` has xs (features, then a constant 1), y and fold; cache it, it is read once per pass.
     A cell whose fold does not occur is fitted on all rows.
@@ -116,4 +126,4 @@ def l1_grid(rows: DataFrame, features: int, cells: Sequence[tuple[int, float]])
         active = open_cells
         if not active:
             break
-    return [(float(b[-1]), [float(v) for v in b[:-1]]) for b in beta]
+    return [Cell(float(b[-1]), [float(v) for v in b[:-1]], n not in active) for n, b in enumerate(beta)]

@@ -21,6 +21,7 @@ from siteplan.operators.ordering import percentile_ranks, row_numbers
 from siteplan.plans.l1path import l1_grid
 from siteplan.session import stage
 
+# Targets, their cuts and the baselines.
 TARGETS = {"A": "y_new_site", "B": "y_first_site"}
 CUT = {"A": 100, "B": 50}
 SEED = 42
@@ -157,26 +158,41 @@ def fit_lasso(train: DataFrame, grid: Sequence[float] = C_GRID, folds: int = 5)
     try:
         cells = [(f, c) for f in range(folds) for c in range(len(grid))]
         fits = l1_grid(ready, len(sc.features), [(f, grid[c]) for f, c in cells])
-        coefs = spark.createDataFrame([(*cell, *fit) for cell, fit in zip(cells, fits, strict=True)],
-                                                   "fold int, c int, b0 double, b array<double>")
+        # A strength counts only if its fits of all folds have converged.
+        loose = {c for (_, c), fit in zip(cells, fits, strict=True) if not fit.converged}
+        coefs = spark.createDataFrame([(*cell, fit.intercept, fit.coefficients) for cell, fit in zip(cells, fits, strict=True)
+                                       if cell[1] not in loose], "fold int, c int, b0 double, b array<double>")
         held = ready.join(F.broadcast(coefs), "fold")  # one row per cell of the grid
         margin = F.aggregate(F.zip_with("xs", "b", lambda x, b: F.coalesce(x * b, F.lit(0.0))), F.col("b0"), lambda a, v: a + v)
         auc = (mt.roc_auc(held.select("fold", "c", "y", margin.alias("s")), "y", "s", ["fold", "c"])
                .groupBy("c").agg(F.avg("roc_auc").alias("auc")).orderBy(F.col("auc").desc(), "c").first())
+        if auc is None:
+            raise RuntimeError("no strength of the L1 grid converged on all folds")
         best = grid[auc["c"]]
-        b0, b = l1_grid(ready, len(sc.features), [(-1, best)])[0]  # on all rows
-        return LinearFit(sc, b0, b, {"C": best, "cv_auc": auc["auc"]})
+        last = l1_grid(ready, len(sc.features), [(-1, best)])[0]  # on all rows
+        if not last.converged:
+            raise RuntimeError(f"the L1 fit with C = {best} did not converge")
+        return LinearFit(sc, last.intercept, last.coefficients, {"C": best, "cv_auc": auc["auc"]})
     finally:
         ready.unpersist()
 
 
-def fit_forest(train: DataFrame, trees: int = 400) -> Fitted:
+FOREST_PARTS = 32
+FOREST_ROWS = 2_000_000
+
+
+def fit_forest(train: DataFrame, trees: int = 400, max_rows: int = FOREST_ROWS) -> Fitted:
+    """Random forest on about ``max_rows`` labelled rows at most, drawn by a hash of their key.
+
+    Leaves hold 20 rows or more, so the bound also bounds the model on the driver. Rows are dealt to a fixed number
+    of parts by their key: the seed alone decides the trees, not the cores or the input's files.
+    """
     rf = RandomForestClassifier(featuresCol="x", labelCol="y", numTrees=trees, minInstancesPerNode=20,
                                 featureSubsetStrategy="0.5", maxDepth=30, maxBins=32, maxMemoryInMB=1024, cacheNodeIds=True, seed=SEED)
-    rows = feature_vector(train).select("x", "y")
-    # Growing trees is bound by computation, so small inputs are spread evenly over all cores.
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    rows = rows.repartition(cores) if train.count() <= ROWS_PER_TASK * cores else rows
+    place = F.pmod(F.xxhash64("fips", "year"), F.lit(FOREST_PARTS))
+    share = max_rows / max(train.count(), max_rows)
+    kept = train.filter(F.pmod(F.xxhash64(F.lit(SEED), "fips", "year"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
+    rows = feature_vector(kept.repartition(FOREST_PARTS, place)).select("x", "y")
     return Fitted(rf.fit(rows))
 
 
@@ -203,12 +219,6 @@ def evaluate_target(rows: DataFrame, target: str, years: Years, fitted: dict[str
     return out.withColumn("brier", F.when(F.col("section") == "test", F.col("brier")))
 
 
-def fit_models(rows: DataFrame, years: Years, names: Sequence[str] = tuple(FITTERS)) -> dict[str, AnyFit]:
-    """Fit on the training years only."""
-    train = rows.filter(F.col("year").isin(list(years.train)))
-    return {n: FITTERS[n](train) for n in names}
-
-
 MAX_GROUPS = 100_000
 
 

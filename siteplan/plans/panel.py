@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 from siteplan.functions.arith import floor_at, guarded_ratio
 from siteplan.plans import supply as sup
 
-PANEL_COLUMNS = (
-    "fips county_key county_name state cent_lat cent_lon area_sqmi year dcfc_ports dcfc_sites large_sites "
-    "rival_ports own_ports own_sites new_large_sites_t dist_large_dcfc_mi ports_within_50mi pop pop_growth fwy_vmt "
-    "fwy_miles interstate_miles traffic_imputed has_freeway bev_per_1k elec_price_c_kwh ev_incentives bev_est "
-    "pop_density ports_per_1k_bev rival_share state_new_large_per_1m new_large_next y_new_site y_first_site").split()
+# Columns of the panel.
+PANEL_COLUMNS = [
+    "fips", "county_key", "county_name", "state", "cent_lat", "cent_lon", "area_sqmi", "year", "dcfc_ports",
+    "dcfc_sites", "large_sites", "rival_ports", "own_ports", "own_sites", "new_large_sites_t", "dist_large_dcfc_mi",
+    "ports_within_50mi", "pop", "pop_growth", "fwy_vmt", "fwy_miles", "interstate_miles", "traffic_imputed",
+    "has_freeway", "bev_per_1k", "elec_price_c_kwh", "ev_incentives", "bev_est", "pop_density", "ports_per_1k_bev",
+    "rival_share", "state_new_large_per_1m", "new_large_next", "y_new_site", "y_first_site",
+]
 
 
 @dataclass(frozen=True)

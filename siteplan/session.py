@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_scratch: dict[str, str] = {}
+_swept: set[str] = set()
 
 
 def build_session(app: str = "siteplan", cpus: int | str | None = None,
@@ -41,7 +42,12 @@ def scratch_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if shared:
-        return f"{shared.rstrip('/')}/{sc.applicationId}"
+        folder = f"{shared.rstrip('/')}/{sc.applicationId}"
+        if folder not in _swept:  # the tables of a session are deleted when its driver ends
+            path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(path)
+            _swept.add(folder)
+        return folder
     if not sc.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     if sc.applicationId not in _local_scratch:

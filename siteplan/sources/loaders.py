@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteplan.functions.text import contains_ci, in_list, lenient_date, not_in_list
+from siteplan.functions.text import contains_ci, in_list, lenient_date, not_in_list, padded_code
 from siteplan.operators.quality import require_columns
 from siteplan.sources.tables import apply_crosswalk
 
@@ -67,13 +67,17 @@ def working_stations(st: DataFrame, statuses: Sequence[str] = ("E", "T"),
 TRAFFIC_COLUMNS = ["fwy_vmt", "fwy_miles", "interstate_miles"]
 
 
-def traffic(raw: DataFrame, override: DataFrame, mapping: DataFrame, override_prefix: str = "09") -> DataFrame:
+def traffic(raw: DataFrame, override: DataFrame, mapping: DataFrame, override_prefix: str = "09",
+            width: int = 5) -> DataFrame:
     """(fips, fwy_vmt, fwy_miles, interstate_miles, traffic_imputed, has_freeway).
 
     ``raw`` adds ``match_status``: areas marked "No qualifying" are true zeros, not missing.
     ``override`` (fips, final_vmt, final_miles) replaces the rows of one state, flagged; a missing
     value there stays missing. Parts of a split area become flagged zeros; dropped codes leave.
     """
+    require_columns(raw, ["fips", "match_status", *TRAFFIC_COLUMNS], "traffic")
+    require_columns(override, ["fips", "final_vmt", "final_miles"], "traffic override")
+    raw, override = (d.withColumn("fips", padded_code(F.col("fips"), width)) for d in (raw, override))
     none = F.startswith(F.coalesce("match_status", F.lit("")), F.lit("No qualifying"))
     base = raw.select("fips", *[F.when(none, 0.0).otherwise(F.col(c).cast("double")).alias(c) for c in TRAFFIC_COLUMNS])
     over = (override.filter(F.col("fips").startswith(override_prefix))

@@ -26,13 +26,29 @@ def test_l1_grid_equals_library_solver(rows):
     xs = dealt.select(F.array(*[sc.column(f) for f in FEATURES], F.lit(1.0)).alias("xs"), "y", "fold").cache()
     grid = [0.01, 1.0]
     fits = l1path.l1_grid(xs, len(FEATURES), [(0, c) for c in grid] + [(-1, 0.05)])
-    for held, c, (b0, b) in [(0, 0.01, fits[0]), (0, 1.0, fits[1]), (-1, 0.05, fits[2])]:
+    assert all(f.converged for f in fits)
+    for held, c, fit in [(0, 0.01, fits[0]), (0, 1.0, fits[1]), (-1, 0.05, fits[2])]:
+        b0, b = fit.intercept, fit.coefficients
         part = sc.apply(dealt.filter(F.col("fold") != held)).select("x", "y")
         m = LogisticRegression(featuresCol="x", labelCol="y", regParam=1 / (c * part.count()), elasticNetParam=1.0,
                                standardization=False, maxIter=500, tol=1e-10).fit(part)
         assert np.allclose(m.coefficients.toArray(), b, atol=2e-3) and m.intercept == pytest.approx(b0, abs=2e-3)
 
 
+def test_unconverged_cells_are_flagged(rows, monkeypatch):
+    sc = models.Scaler.fit(rows)
+    xs = models.stratified_folds(rows).select(F.array(*[sc.column(f) for f in FEATURES], F.lit(1.0)).alias("xs"), "y", "fold").cache()
+    monkeypatch.setattr(l1path, "MAX_PASSES", 1)
+    assert not l1path.l1_grid(xs, len(FEATURES), [(-1, 1.0)])[0].converged
+    with pytest.raises(RuntimeError, match="converge"):
+        models.fit_lasso(rows, grid=[1.0], folds=2)
+
+
+def test_forest_does_not_depend_on_input_files(rows):
+    a, b = (models.fit_forest(r, trees=5).score(rows).agg(F.sum("p")).first()[0] for r in (rows.coalesce(1), rows.repartition(7)))
+    assert a == pytest.approx(b, rel=1e-9)
+
+
 def test_stratified_folds(rows):
     by = models.stratified_folds(rows).groupBy("fold").agg(F.sum("y").alias("p"), F.count("*").alias("n")).collect()
     assert max(r["p"] for r in by) - min(r["p"] for r in by) <= 1 and max(r["n"] for r in by) - min(r["n"] for r in by) <= 2

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siteplan.operators import ordering, selection
-from siteplan.plans import cost, scoring
+from siteplan.plans import cost, portfolio, scoring
 
 CAND = "fips string, k int, value double, cost double"
 
@@ -21,13 +21,11 @@ def one_pass(rows, budget):
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_greedy_equals_one_pass(spark, seed, monkeypatch):
+def test_greedy_equals_one_pass(spark, seed):
     rng = np.random.default_rng(seed)
     # Integer costs, so that sums are exact in any order; values are arbitrary, also within an area.
     rows = [(f"{i:03d}", k, float(rng.integers(1, 400)), float(rng.integers(2, 30))) for i in range(60) for k in (1, 2, 3)]
     rows = [r for r in rows if rng.random() > 0.05]  # holes in some chains
-    if seed % 2:
-        monkeypatch.setattr(selection, "SMALL_TOP", 3)
     got = {(r["fips"], r["k"]) for r in selection.select_greedy(spark.createDataFrame(rows, CAND), 300.0).collect()}
     assert got == one_pass(rows, 300.0)
 
@@ -87,14 +85,16 @@ def test_zero_weights_raise(scored):
         scoring.score(scored, dict.fromkeys(scoring.DEFAULT_WEIGHTS, 0.0))
 
 
-def test_site_cost():
-    assert cost.site_cost("Base") == pytest.approx(8 * 232_700 + 100_000)
-    assert cost.site_cost("Low") == pytest.approx(8 * 183_116)
-    assert cost.site_cost("Low") < cost.site_cost("Base") < cost.site_cost("High")
-    assert cost.site_cost("Base", incentive_share=0.5) == pytest.approx(cost.site_cost("Base") / 2)
-    for bad in ({"ports": 0}, {"incentive_share": 1.0}):
+def test_site_cost(spark):
+    unit = lambda name, **kw: portfolio.Controls(name, scenario=name, **kw).unit_cost()
+    assert unit("Base") == pytest.approx(8 * 232_700 + 100_000) and unit("Low") == pytest.approx(8 * 183_116)
+    assert unit("Low") < unit("Base") < unit("High") and unit("Base", grant=0.5) == pytest.approx(unit("Base") / 2)
+    for bad in ({"ports": 0}, {"grant": 1.0}, {"grant": -0.1}):
         with pytest.raises(ValueError):
-            cost.site_cost("Base", **bad)
+            portfolio.Controls(**bad)
+    df = spark.createDataFrame([("Base", 8), ("High", 4)], "scenario string, ports int")
+    got = {r["scenario"]: r["cost"] for r in cost.site_costs(df, cost.scenario_table(spark), F.col("ports")).collect()}
+    assert got == {"Base": pytest.approx(unit("Base")), "High": pytest.approx(unit("High", ports=4))}
 
 
 def test_economics(spark):

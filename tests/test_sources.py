@@ -1,5 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siteplan.functions import text
 from siteplan.operators import quality
@@ -77,3 +78,35 @@ def test_cluster_names(spark):
                                "cluster_id int, bev_per_1k double, log_pop double, log_dist_large_dcfc double, log_ports_per_1k_bev double")
     got = [r["cluster"] for r in clusters.name_clusters(df).orderBy("cluster_id").collect()]
     assert got == ["Counties in high-EV-adoption states", "Mixed", "Mixed (2)", "Small town, underserved"]
+
+
+STATION = T.StructType([T.StructField("id", T.LongType()), T.StructField("status", T.StringType()), T.StructField("price", T.DoubleType())])
+
+
+def test_columns_are_found_by_header(spark, tmp_path):
+    wide = tmp_path / "wide.csv"
+    wide.write_text('status,extra,price,id\nO,z,0.5,7\n"E, x",y,,x\n')
+    got = tables.read_delimited(spark, str(wide), STATION, ["id", "status", "price"], "stations").collect()
+    assert [tuple(r) for r in got] == [(7, "O", 0.5), (None, "E, x", None)]
+    with pytest.raises(ValueError, match=r"stations: missing columns \['owner'\]"):
+        tables.read_delimited(spark, str(wide), STATION, ["id", "owner"], "stations")
+    bare = tmp_path / "bare.csv"
+    bare.write_text("7,O,0.5\n")
+    assert [tuple(r) for r in tables.read_delimited(spark, str(bare), STATION, ["id", "price"], "stations", header=False).collect()] == [(7, 0.5)]
+
+
+def test_bad_codes_are_named(spark):
+    m = tables.crosswalk_table(spark, {}, {}, [])
+    raw = spark.createDataFrame([("One", "1", "S", "o"), ("Two", "x2", "S", "t"), ("Three", None, "S", "h")], KEYS)
+    with pytest.raises(ValueError, match=r"fips must be whole numbers, found \[None, 'x2'\]"):
+        tables.county_keys(raw, m, expected=None)
+
+
+def test_traffic_codes_are_padded(spark):
+    raw = spark.createDataFrame([("7", "Matched", 5.0, 2.0, 1.0), ("9001", "Matched", 1.0, 1.0, 1.0)],
+                                "fips string, match_status string, fwy_vmt double, fwy_miles double, interstate_miles double")
+    over = spark.createDataFrame([("9001", 8.0, 3.0)], "fips string, final_vmt double, final_miles double")
+    got = {r["fips"]: (r["fwy_vmt"], r["traffic_imputed"]) for r in loaders.traffic(raw, over, tables.crosswalk_table(spark, {}, {}, [])).collect()}
+    assert got == {"00007": (5.0, False), "09001": (8.0, True)}
+    with pytest.raises(ValueError, match="traffic: missing columns"):
+        loaders.traffic(raw.drop("fwy_miles"), over, tables.crosswalk_table(spark, {}, {}, []))
