@@ -25,6 +25,7 @@ LANGUAGES = ("de", "en", "es", "fr")
 UNKNOWN = "und"
 FIT_ROWS = 8000  # labelled texts that the text model is fitted to, at most
 BUCKETS = 1 << 20
+LEAST_TEXTS = 3  # texts of a language that must share a trigram, so that one mislabelled text teaches nothing
 TEMPER = 1 / 3  # every byte lies in three trigrams
 STRENGTH = 20.0  # rows that a level's parent counts for
 DECLARED_RIGHT, DECLARED_STRENGTH = 0.9, 50.0
@@ -54,7 +55,7 @@ def trigrams(raw: np.ndarray) -> np.ndarray:
 def fit(labelled: DataFrame, languages: Sequence[str] = LANGUAGES, rows: int = FIT_ROWS) -> np.ndarray:
     """Log probabilities (bucket, language and last ``und``) from labelled texts (columns doc_id, text, lang).
 
-    The sample is the ``rows`` texts with the smallest hashes of id and text. Without any labelled text all
+    A trigram counts by the texts that hold it. The sample is the ``rows`` texts with the smallest hashes of id and text. Without any labelled text all
     languages are equal.
     """
     known = labelled.filter(F.col("lang").isin(*languages) & F.col("text").isNotNull()).withColumn("_h", F.xxhash64("doc_id", "text"))
@@ -66,7 +67,7 @@ def fit(labelled: DataFrame, languages: Sequence[str] = LANGUAGES, rows: int = F
         for batch in batches:
             found: list[list[np.ndarray]] = [[] for _ in names]
             for raw, lang in zip(raw_texts(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                found[names.index(lang)].append(trigrams(raw))
+                found[names.index(lang)].append(np.unique(trigrams(raw)))
             for k, x in enumerate(found):
                 if x:
                     total[k] += np.bincount(np.concatenate(x), minlength=BUCKETS).astype(np.int32)
@@ -76,7 +77,7 @@ def fit(labelled: DataFrame, languages: Sequence[str] = LANGUAGES, rows: int = F
     counts = np.full((BUCKETS, len(names)), 1e-3)
     if last is not None:
         got = (known.filter(F.col("_h") <= last).select("text", "lang").mapInArrow(count, "k int, b int, n long")
-               .groupBy("k", "b").agg(F.sum("n").alias("n")).toPandas())
+               .groupBy("k", "b").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_TEXTS).toPandas())
         counts[got["b"].to_numpy(), got["k"].to_numpy()] += got["n"].to_numpy()
     p = counts / counts.sum(axis=0)
     und = 0.1 * p.mean(axis=1) + 0.9 / BUCKETS

@@ -255,11 +255,11 @@ def test_language_of_documents_and_evidence(spark):
 def test_host_prior_and_suffix_settle_short_texts(spark):
     model = langid.fit(spark.read.parquet(f"{SMALL}/documents.parquet"))
     german = [(k, "der die und ist nicht von den zu ein", None, "shop.example.org") for k in range(60)]
-    short = [(100, "de", None, "shop.example.org"), (101, "de", None, "www.beispiel.at"), (102, "de", "es", "nowhere.test")]
+    short = [(100, "de", None, "shop.example.org"), (101, "der", None, "www.beispiel.at"), (102, "de", "es", "nowhere.test"), (103, "der", None, "www.beispiel.test")]
     got = {r["doc_id"]: r for r in langid.identify(spark.createDataFrame(german + short, "doc_id long, text string, declared string, host string"), model, ["doc_id"]).collect()}
     assert got[100]["lang"] == "de" and got[102]["lang"] == "es"
-    # The same text leans more to German where the suffix is Austrian than the prior over all rows does.
-    assert got[101]["lang"] == "de"
+    # The same text leans more to German where the suffix is Austrian.
+    assert got[101]["lang"] == got[103]["lang"] == "de" and got[101]["confidence"] > got[103]["confidence"]
 
 
 def test_markup(spark):
