@@ -12,29 +12,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siteplan.llm.common import lookup
 from siteplan.operators.ordering import row_numbers
 from siteplan.session import stage
 
 START, MID = "\x01", "\x02"
+QUOTE = r"^\s*(?:>\s?)++"  # possessive: a line may hold any number of signs
 # Lines that announce a quote.
 ATTRIBUTION = r"(?i)^\s*(?:on\b.*\bwrote|am\b.*\bschrieb(?:\b.*)?|le\b.*\ba [ée]crit|el\b.*\bescribi[óo])\s*:\s*$"
 
 
 def level_of(line: Column) -> Column:
-    return F.char_length(F.regexp_replace(F.regexp_extract(line, r"^\s*((?:>\s?)+)", 1), r"\s", ""))
+    return F.char_length(F.regexp_replace(F.regexp_extract(line, QUOTE, 0), r"\s", ""))
 
 
 def passages(text: Column) -> Column:
     """Array of (level, text): runs of lines of one quote level, in order. A null text is empty."""
     lines = F.split(F.translate(F.coalesce(text, F.lit("")), START + MID, "  "), r"\r?\n", -1)
-    marked = F.transform(lines, lambda x: F.struct(level_of(x).alias("level"), F.regexp_replace(x, r"^\s*(?:>\s?)+", "").alias("text")))
+    marked = F.transform(lines, lambda x: F.struct(level_of(x).alias("level"), F.regexp_replace(x, QUOTE, "").alias("text")))
 
-    def piece(x: Column, i: Column) -> Column:
-        before = F.get(marked, i - 1)
-        starts = (i == 0) | (before["level"] != x["level"])
-        return F.concat(F.when(starts, F.concat(F.lit(START), x["level"].cast("string"), F.lit(MID))).otherwise(F.lit("\n")), x["text"])
+    def joined(seen: Column) -> Column:
+        def piece(x: Column, i: Column) -> Column:
+            starts = (i == 0) | (F.get(seen, i - 1)["level"] != x["level"])
+            return F.concat(F.when(starts, F.concat(F.lit(START), x["level"].cast("string"), F.lit(MID))).otherwise(F.lit("\n")), x["text"])
 
-    runs = F.filter(F.split(F.array_join(F.transform(marked, piece), ""), START, -1), lambda x: x != "")
+        return F.array_join(F.transform(seen, piece), "")
+
+    # The one-element array binds the lines, so that they are worked out once and not once per line.
+    text_runs = F.transform(F.array(marked), joined)[0]
+    runs = F.filter(F.split(text_runs, START, -1), lambda x: x != "")
     return F.transform(runs, lambda x: F.struct(F.substring_index(x, MID, 1).cast("int").alias("level"),
                                                 F.substring_index(x, MID, -1).alias("text")))
 
@@ -70,7 +76,7 @@ def links(rows: DataFrame) -> DataFrame:
     wanted = quoted.select("conv_id", "h").distinct()
     wrote = (rows.select(*key, F.explode(sentences(F.coalesce("own", F.lit("")))).alias("s")).select(*key, F.xxhash64("s").alias("h"))
              .join(wanted, ["conv_id", "h"], "left_semi").groupBy("conv_id", "h").agg(F.min("turn").alias("by")))
-    met = quoted.join(wrote, ["conv_id", "h"]).filter("by < turn")
+    met = lookup(quoted, wrote, ["conv_id", "h"], [F.col("turn")], "inner").filter("by < turn")
     sums = met.groupBy(*key, "by").agg(F.sum(F.when(F.col("level") == 1, F.col("size"))).alias("size"), F.count("*").alias("n"))
     return sums.groupBy(*key).agg(F.max(F.when(F.col("size").isNotNull(), F.struct("size", "by"))).alias("best"),
                                   F.sum("n").alias("n_linked")).select(*key, F.col("best.by").alias("reply_to"), "n_linked")
@@ -84,7 +90,7 @@ def threads(linked: DataFrame) -> DataFrame:
     paths = stage(linked.filter("reply_to is not null").select("conv_id", "turn", F.col("reply_to").alias("thread"), F.lit(1).cast("long").alias("depth")), "threads")
     while True:
         up = paths.select("conv_id", F.col("turn").alias("thread"), F.col("thread").alias("_to"), F.col("depth").alias("_more"))
-        longer = paths.join(up, ["conv_id", "thread"], "left")
+        longer = lookup(paths, up, ["conv_id", "thread"], [F.col("turn")])  # a message may have any number of replies
         if longer.filter("_to is not null").isEmpty():
             return paths
         paths = stage(longer.select("conv_id", "turn", F.coalesce("_to", "thread").alias("thread"),
