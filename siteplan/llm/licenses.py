@@ -105,7 +105,7 @@ PHRASES = [
     ("public-domain", 1, "public domain", r"(?:released|placed|dedicated) (?:in|into|to) the public domain"),
     ("public-domain", 2, "public domain", r"(?:is|are) in the public domain"),
     ("all-rights-reserved", 2, "rights reserved", r"(?:all|some|no) rights reserved"),
-    ("copyright-notice", 2, "copyright", r"copyright (?:c )?(?:19|20)\d\d(?: (?:19|20)\d\d)*"),
+    ("copyright-notice", 2, "copyright", r"copyright (?:c )?(?:19|20)\d\d(?: (?:19|20)\d\d(?= ))*+"),
     ("copyright-notice", 3, "copyright", r"copyright (?:holder|owner|notice)s?"),
     ("proprietary", 1, "proprietary", r"(?:proprietary and confidential|confidential and proprietary)"),
     ("proprietary", 1, "unauthorized copying", r"unauthorized copying of this (?:file|work|document|software)"),
