@@ -38,7 +38,7 @@ def path_of(url: Column) -> Column:
 
 def shape_of(path: Column, depth: int = DEPTH) -> Column:
     """Segments with digit runs as ``#``, long hexadecimal runs as ``~``; the last one holds all deeper ones."""
-    plain = F.regexp_replace(F.regexp_replace(path, r"(?i)(?=[0-9a-f-]*[0-9])(?=[0-9a-f-]*[a-f])\b[0-9a-f-]{12,}\b", "~"), r"[0-9]+", "#")
+    plain = F.regexp_replace(F.regexp_replace(path, r"(?i)(?<![0-9a-f-])\b(?=[a-f-]*+[0-9])(?=[0-9-]*+[a-f])[0-9a-f-]{12,}\b", "~"), r"[0-9]+", "#")
     parts = F.split(plain, "/", -1)
     return F.when(F.size(parts) <= depth, parts).otherwise(
         F.concat(F.slice(parts, 1, depth - 1), F.array(F.array_join(F.slice(parts, depth, F.size(parts)), "/"))))
