@@ -91,12 +91,13 @@ def host_of(url: Column) -> Column:
 
 def markup_language(html: Column) -> Column:
     """The lang attribute of the html element, or null."""
-    found = F.regexp_extract(html, r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})", 1)
+    found = F.regexp_extract(html, r"(?i)<html\b[^<>]*?\blang\s*=\s*[\"']?([a-z]{2,3})", 1)
     return F.when(found != "", F.lower(found))
 
 
 def markup_text(html: Column) -> Column:
-    return F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&#?\w+;", " ")
+    """Text without tags, comments, scripts and styles; what is not closed ends with the page, a lone ``<`` is text."""
+    return F.regexp_replace(html, r"(?is)<(script|style)\b.*?(?:</\1\s*>|\z)|<!--.*?(?:-->|\z)|<[^<>]*>|&#?\w+;", " ")
 
 
 def identify(rows: DataFrame, model: np.ndarray, keys: Sequence[str], languages: Sequence[str] = LANGUAGES) -> DataFrame:
