@@ -164,6 +164,12 @@ def in_blocks(members: DataFrame, group: str, payload: DataFrame, block_rows: in
             .repartition(group, "_i", "_j").sortWithinPartitions(*order))
 
 
+def _wide(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Texts and bytes with 64-bit offsets, so that batches joined to one may hold more than 2 GB."""
+    wide = {pa.string(): pa.large_string(), pa.binary(): pa.large_binary()}
+    return batch.cast(pa.schema([(f.name, wide.get(f.type, f.type)) for f in batch.schema]))
+
+
 def block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, pa.RecordBatch, bool]]:
     """The two sorted blocks of each (group, _i, _j), which may cross batches; True if a block meets itself."""
     def split(x: pa.RecordBatch):
@@ -177,6 +183,7 @@ def block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBa
     for batch in batches:
         if not batch.num_rows:
             continue
+        batch = _wide(batch)
         x = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
         key = np.stack([x.column(k).to_numpy(zero_copy_only=False) for k in (0, 1, 2)])
         starts = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(axis=0)]))
@@ -230,12 +237,12 @@ def confirmed_links(families: DataFrame, payload: DataFrame, threshold: tuple[in
             i, j, score = survivors(_sigs(p.column(5)), _sigs(q.column(5)), same, least)
             pn, qn = p.column(4).to_pylist(), q.column(4).to_pylist()
             forest, shift = Forest(len(pn) + len(qn)), 0 if same else len(pn)
-            sets: dict[int, set[int]] = {}
+            sets: dict[int, np.ndarray] = {}
 
-            def full(side: pa.RecordBatch, row: int, at: int) -> set[int]:
+            def full(side: pa.RecordBatch, row: int, at: int) -> np.ndarray:
                 if at not in sets:
                     raw = next(raw_texts(side.column(6).slice(row, 1)))
-                    sets[at] = set(shingles(word_hashes(raw, codes), words).tolist())
+                    sets[at] = shingles(word_hashes(raw, codes), words)
                 return sets[at]
 
             a, b = [], []
@@ -245,7 +252,7 @@ def confirmed_links(families: DataFrame, payload: DataFrame, threshold: tuple[in
                     continue
                 s, t = full(p, u, u), full(q, v, v + shift)
                 if den * min(len(s), len(t)) >= num * max(len(s), len(t)):
-                    both = len(s & t)
+                    both = len(np.intersect1d(s, t, assume_unique=True))
                     if den * both >= num * (len(s) + len(t) - both):
                         forest.join(u, v + shift)
                         a.append(pn[u])
