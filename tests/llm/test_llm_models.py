@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -388,3 +389,20 @@ def test_pipeline_stages_keep_the_columns(spark):
     assert not any(tuple(w[k:k + 13]) in grams for _, t in rows for w in [word(t)] for k in range(len(w) - 12))
     packed = cp.STAGES[-1][1](spark, docs, SMALL).collect()
     check_packing(packed, rows, packing.tokenizer(*tokenizer_files()), 2048)
+
+
+def test_patterns_take_very_long_input(spark):
+    urls = spark.createDataFrame([("/" + "a" * 50_000,), ("/" + "1-" * 50_000,), ("/x/0123abcd-4567-89ef-00",)], "path string")
+    assert [r[0][-1][:3] for r in urls.select(urltree.shape_of(F.col("path"))).collect()] == ["aaa", "#-#", "~"]
+    pages = ["<" * 50_000, "a<!--" * 50_000, "b<script>" * 50_000, "<html " * 50_000 + "<html lang=de>", "x<b>y</b><!-- z -->w"]
+    got = spark.createDataFrame([(p,) for p in pages], "html string").select(
+        F.trim(langid.markup_text(F.col("html"))), langid.markup_language(F.col("html"))).collect()
+    assert [r[0][:3] for r in got] == ["<<<", "a", "b", "<ht", "x y"] and got[3][1] == "de"
+
+
+def test_sets_of_wide_batches_cross_batches():
+    rows = [(7, 0, 1, False, 1, b"a", "x"), (7, 0, 1, True, 2, b"b", "y"), (8, 0, 0, False, 3, b"c", "z")]
+    names = ["g", "_i", "_j", "_side", "node", "sig", "text"]
+    batches = [pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True))]) for r in rows]
+    got = [(p.column(4).to_pylist(), q.column(4).to_pylist(), same) for p, q, same in minhash.block_pairs(iter(batches))]
+    assert got == [([1], [2], False), ([3], [3], True)]

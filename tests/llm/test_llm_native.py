@@ -193,3 +193,15 @@ def test_odd_messages(spark):
     assert Counter((r.conv_id, r.turn) for r in got) == Counter((r[0], r[1]) for r in rows)
     assert sorted(r.position for r in got if r.conv_id == 1) == [1, 2, 3]
     assert quotes.conversations(spark.createDataFrame([], MESSAGES)).count() == 0
+
+
+def test_very_long_lines_and_many_lines(spark):
+    rows = [(1, 1, "user", "First words."), (1, 2, "user", ">" * 100_000 + " First words."), (1, 3, "user", "> First words.\n" * 3_000 + "new")]
+    got = {r.turn: r for r in quotes.conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert [got[k].text for k in (2, 3)] == ["", "new"]
+    assert [got[k].reply_to for k in (2, 3)] == [None, 1] and got[2].n_linked == 1  # only a quote of level 1 is a reply
+
+
+def test_license_pattern_on_many_years(spark, docs):
+    got = {r.doc_id: r.labels for r in licenses.scan(docs([(1, "copyright " + "2001 " * 20_000), (2, "copyright 2001 20023 x")])).collect()}
+    assert got == {1: "copyright-notice", 2: "copyright-notice"}
