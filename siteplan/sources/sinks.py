@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siteplan.operators.polygons import crosses
+
 # Columns of the app table and of the station map.
 APP_COLUMNS = [
     "fips", "county_key", "county_name", "state", "cent_lat", "cent_lon", "pop", "pop_growth", "bev_est",
@@ -61,22 +63,44 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
             .select("target", "section", "model", F.explode("metrics").alias("metric", "value")))
 
 
+def _inside(at: Column, ring: Column) -> Column:
+    """Is a corner inside a closed ring of corners?"""
+    edges = F.sequence(F.lit(0), F.size(ring) - 2)
+    hits = F.filter(edges, lambda i: crosses(at[0], at[1], ring[i][0], ring[i][1], ring[i + 1][0], ring[i + 1][1]))
+    return F.size(hits) % 2 == 1
+
+
 def map_features(edges: DataFrame, keys: DataFrame, digits: int = 6) -> DataFrame:
     """One GeoJSON feature per polygon as a line of text; its id is the polygon key.
 
     ``edges`` needs ``seq``, the position within a ring. Polygons without edges and polygons
-    outside ``keys`` give no feature. Rings become the parts of one Polygon in ring order.
+    outside ``keys`` give no feature. A ring that lies in an even number of other rings, as told by its first corner,
+    is a shell; the rings one level inside it are its holes. Several shells give a MultiPolygon, in ring order.
     """
     wanted = edges.join(keys.select("poly"), "poly", "left_semi")
     corner = F.struct("seq", F.array(F.round("x1", digits), F.round("y1", digits)).alias("at"))
     rings = wanted.groupBy("poly", "ring").agg(F.array_sort(F.collect_list(corner)).alias("corners"))
     closed = rings.select("poly", F.struct("ring", F.concat(
         F.transform("corners", lambda c: c["at"]), F.array(F.col("corners")[0]["at"])).alias("xy")).alias("r"))
-    shapes = closed.groupBy("poly").agg(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["xy"]).alias("coordinates"))
-    geometry = F.struct(F.lit("Polygon").alias("type"), "coordinates")
-    return shapes.select(F.col("poly").alias("id"), F.to_json(F.struct(
-        F.lit("Feature").alias("type"), F.col("poly").alias("id"),
-        F.create_map().cast("map<string,string>").alias("properties"), geometry.alias("geometry"))).alias("value"))
+    shapes = closed.groupBy("poly").agg(F.array_sort(F.collect_list("r")).alias("rings"))
+
+    def level(r: Column) -> Column:
+        around = F.filter("rings", lambda o: (o["ring"] != r["ring"]) & _inside(r["xy"][0], o["xy"]))
+        return F.struct(r["xy"].alias("xy"), F.size(around).alias("level"))
+
+    def with_holes(s: Column) -> Column:
+        holes = F.filter("parts", lambda h: (h["level"] == s["level"] + 1) & _inside(h["xy"][0], s["xy"]))
+        return F.concat(F.array(s["xy"]), F.transform(holes, lambda h: h["xy"]))
+
+    def feature(kind: str, coordinates: Column) -> Column:
+        geometry = F.struct(F.lit(kind).alias("type"), coordinates.alias("coordinates"))
+        return F.to_json(F.struct(F.lit("Feature").alias("type"), F.col("poly").alias("id"),
+                                  F.create_map().cast("map<string,string>").alias("properties"), geometry.alias("geometry")))
+
+    parts = (shapes.withColumn("parts", F.transform("rings", level))
+             .withColumn("shells", F.transform(F.filter("parts", lambda r: r["level"] % 2 == 0), with_holes)))
+    return parts.select(F.col("poly").alias("id"), F.when(F.size("shells") == 1, feature("Polygon", F.col("shells")[0]))
+                        .otherwise(feature("MultiPolygon", F.col("shells"))).alias("value"))
 
 
 def write_map_features(features: DataFrame, path: str) -> None:

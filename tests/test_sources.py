@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -5,7 +7,7 @@ from pyspark.sql import types as T
 from siteplan.functions import text
 from siteplan.operators import quality
 from siteplan.plans import clusters, panel, supply
-from siteplan.sources import loaders, tables
+from siteplan.sources import loaders, sinks, tables
 
 
 def test_price_text(spark):
@@ -110,3 +112,18 @@ def test_traffic_codes_are_padded(spark):
     assert got == {"00007": (5.0, False), "09001": (8.0, True)}
     with pytest.raises(ValueError, match="traffic: missing columns"):
         loaders.traffic(raw.drop("fwy_miles"), over, tables.crosswalk_table(spark, {}, {}, []))
+
+
+def test_several_shells_and_holes(spark):
+    def square(poly, ring, x, y, side):
+        c = [(x, y), (x + side, y), (x + side, y + side), (x, y + side)]
+        return [(poly, ring, k, *c[k], *c[(k + 1) % 4]) for k in range(4)]
+
+    rows = [*square("a", 0, 0.0, 0.0, 10.0), *square("a", 1, 2.0, 2.0, 6.0), *square("a", 2, 4.0, 4.0, 1.0),
+            *square("a", 3, 20.0, 0.0, 5.0), *square("b", 0, 0.0, 20.0, 9.0), *square("b", 1, 1.0, 21.0, 1.0)]
+    edges = spark.createDataFrame(rows, "poly string, ring int, seq int, x1 double, y1 double, x2 double, y2 double")
+    got = {r.id: json.loads(r.value)["geometry"] for r in sinks.map_features(edges, edges.select("poly").distinct()).collect()}
+    assert [got[p]["type"] for p in "ab"] == ["MultiPolygon", "Polygon"]
+    assert [[ring[0] for ring in part] for part in got["a"]["coordinates"]] == [[[0.0, 0.0], [2.0, 2.0]], [[4.0, 4.0]], [[20.0, 0.0]]]
+    assert [ring[0] for ring in got["b"]["coordinates"]] == [[0.0, 20.0], [1.0, 21.0]]
+    assert all(ring[0] == ring[-1] for part in got["a"]["coordinates"] for ring in part)
