@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -176,10 +179,18 @@ def _(t: Tables) -> DataFrame:
     return _scored_test(t, "logit")
 
 
+def _both(part: Callable[[str], DataFrame]) -> DataFrame:
+    """The rows of both targets."""
+    a, b = (part(target).withColumn("target", F.lit(target)) for target in models.TARGETS)
+    return a.unionByName(b)
+
+
 @query("m3_l1_logistic")
 def _(t: Tables) -> DataFrame:
-    f = _fit(t, "A", "lasso")
-    return models.linear_coefficients(t.spark, f).withColumn("C", F.lit(f.extra["C"])).withColumn("cv_auc", F.lit(f.extra["cv_auc"]))
+    def part(target: str) -> DataFrame:
+        f = _fit(t, target, "lasso")
+        return models.linear_coefficients(t.spark, f).withColumn("C", F.lit(f.extra["C"])).withColumn("cv_auc", F.lit(f.extra["cv_auc"]))
+    return _both(part)
 
 
 @query("m4_forest_probabilities")
@@ -187,39 +198,42 @@ def _(t: Tables) -> DataFrame:
     return _scored_test(t, "forest")
 
 
+def _evaluated(t: Tables) -> DataFrame:
+    def part(target: str) -> DataFrame:
+        return models.evaluate_target(_rows(t, target), target, MODEL_YEARS, {n: _fit(t, target, n) for n in models.FITTERS})
+    return t._once("evaluated", lambda: stage(_both(part), "evaluated"))
+
+
 @query("m5_temporal_evaluation")
 def _(t: Tables) -> DataFrame:
-    out = None
-    for target in models.TARGETS:
-        fitted = {n: _fit(t, target, n) for n in models.FITTERS}
-        part = models.evaluate_target(_rows(t, target), target, MODEL_YEARS, fitted).withColumn("target", F.lit(target))
-        out = part if out is None else out.unionByName(part)
-    return out
+    return _evaluated(t)
+
+
+def _held_out_states(t: Tables) -> DataFrame:
+    return t._once("cv", lambda: stage(_both(lambda target: models.grouped_cv(_rows(t, target), MODEL_YEARS)), "cv"))
 
 
 @query("m7_states_held_out")
 def _(t: Tables) -> DataFrame:
-    return t._once("cv", lambda: stage(models.grouped_cv(_rows(t, "A"), MODEL_YEARS), "cv"))
+    return _held_out_states(t)
 
 
 @query("m8_coefficient_table")
 def _(t: Tables) -> DataFrame:
-    out = None
-    for target in models.TARGETS:
-        part = models.coefficient_table(_train(t, target)).withColumn("target", F.lit(target))
-        out = part if out is None else out.unionByName(part)
-    return out
+    return _both(lambda target: models.coefficient_table(_train(t, target)))
 
 
 @query("m9_kept_features")
 def _(t: Tables) -> DataFrame:
-    f = _fit(t, "A", "lasso")
-    return models.kept_features(models.linear_coefficients(t.spark, f)).withColumn("C", F.lit(f.extra["C"]))
+    def part(target: str) -> DataFrame:
+        f = _fit(t, target, "lasso")
+        return models.kept_features(models.linear_coefficients(t.spark, f)).withColumn("C", F.lit(f.extra["C"]))
+    return _both(part)
 
 
 @query("m14_permutation_importance")
 def _(t: Tables) -> DataFrame:
-    return models.permutation_importance(_fit(t, "A", "forest"), _test(t, "A"))
+    return _both(lambda target: models.permutation_importance(_fit(t, target, "forest"), _test(t, target)))
 
 
 @query("m17_latest_scores")
@@ -250,18 +264,30 @@ def _(t: Tables) -> DataFrame:
 
 @query("m21_solver_agreement")
 def _(t: Tables) -> DataFrame:
-    return models.solver_agreement(_train(t, "A"), _test(t, "A"))
+    return _both(lambda target: models.solver_agreement(_train(t, target), _test(t, target)))
 
 
 @query("s13_model_metrics_document")
 def _(t: Tables) -> DataFrame:
     from siteplan.session import scratch_path
     from siteplan.sources import sinks
-    fitted = {"logit": _fit(t, "A", "logit")}
-    wide = models.evaluate_target(_rows(t, "A"), "A", MODEL_YEARS, fitted).withColumn("target", F.lit("A"))
-    values = [c for c in wide.columns if c not in ("target", "section", "model")]
-    long = wide.select("target", "section", "model", *[F.col(c).cast("double") for c in values]).unpivot(
-        ["target", "section", "model"], values, "metric", "value")
+
+    def long(df: DataFrame, section: str, model: str = "") -> DataFrame:
+        """Long rows of a table with a target, a section, a model and measures."""
+        named = df.withColumns({c: F.lit(v) for c, v in (("section", section), ("model", model)) if c not in df.columns})
+        values = [c for c in named.columns if c not in ("target", "section", "model")]
+        return named.select("target", "section", "model", *[F.col(c).cast("double") for c in values]).unpivot(
+            ["target", "section", "model"], values, "metric", "value")
+
+    def lasso(target: str) -> DataFrame:
+        f = _fit(t, target, "lasso")
+        kept = models.kept_features(models.linear_coefficients(t.spark, f))
+        return kept.select(F.col("feature").alias("model"), "coef", F.lit(f.extra["C"]).alias("C"), F.lit(f.extra["cv_auc"]).alias("cv_auc"))
+
+    coefs = _both(lambda target: models.coefficient_table(_train(t, target))).withColumnRenamed("feature", "model")
+    late = models.out_of_time(_latest(t)[0], split_snapshot(t.panel(), SNAPSHOT)[1]).withColumnRenamed("check", "target")
+    parts = [long(_evaluated(t), ""), long(_held_out_states(t), "states_held_out"), long(coefs, "coefficients"),
+             long(_both(lasso), "lasso"), long(late, "out_of_time", "logit")]
     path = scratch_path(t.spark, "metrics")
-    sinks.write_metrics(long, path)
+    sinks.write_metrics(reduce(DataFrame.unionByName, parts), path)
     return sinks.read_metrics(t.spark, path)

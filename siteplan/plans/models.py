@@ -312,15 +312,16 @@ def permutation_importance(fitted: AnyFit, test: DataFrame, repeats: int = 5) ->
                                       F.xxhash64(F.lit(SEED), "rep", "fips").alias("h"), "fips"),
                          [F.col("h").asc(), F.col("fips").asc()], "i", ["rep"]).select("rep", "i", "other")
     mixed = draws.join(donors, ["rep", "i"]).select("rep", "y", "own", "other", F.explode(
-        F.array(F.lit(-1), *[F.lit(j) for j in range(len(names))])).alias("j"))
-    # j = -1 keeps the row as it is, for the AUC without shuffling.
+        F.sequence(F.lit(0), F.lit(len(names) - 1))).alias("j"))
+    # The unshuffled rows are scored once, as j = -1.
+    plain = base.select(F.lit(0).alias("rep"), "y", "own", F.col("own").alias("other"), F.lit(-1).alias("j"))
     cols = [F.when(F.col("j") == i, F.col("other")[i]).otherwise(F.col("own")[i]).alias(f) for i, f in enumerate(names)]
-    scored = fitted.score(mixed.select("rep", "j", "y", *cols), "p").select("rep", "j", "y", "p")
-    auc = mt.roc_auc(scored, "y", "p", ["rep", "j"])
-    plain = auc.filter("j = -1").select("rep", F.col("roc_auc").alias("base"))
+    scored = fitted.score(mixed.unionByName(plain).select("rep", "j", "y", *cols), "p").select("rep", "j", "y", "p")
+    auc = stage(mt.roc_auc(scored, "y", "p", ["rep", "j"]), "importance")
+    whole = auc.filter("j = -1").select("roc_auc").scalar()
     label = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("j") + 1)
-    return (auc.filter("j >= 0").join(plain, "rep").groupBy("j").agg(F.avg(F.col("base") - F.col("roc_auc")).alias("importance"))
-            .select(label.alias("feature"), "importance"))
+    return (auc.filter("j >= 0").groupBy("j").agg(F.avg("roc_auc").alias("shuffled"))
+            .select(label.alias("feature"), (whole - F.col("shuffled")).alias("importance")))
 
 
 def score_latest(panel: DataFrame, years: Years, model: str = "logit") -> tuple[DataFrame, dict[str, AnyFit]]:
