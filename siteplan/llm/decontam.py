@@ -3,13 +3,14 @@
 Every window of 8 words of a benchmark item is hashed three times, each time without two inner positions, so that
 each inner position is ignored once: a substituted word leaves seeds intact. The hashes of all items set bits in a
 filter of fixed size, which goes to all tasks; document windows that pass it are joined with the item hashes on the
-hash. Around each hit the item is laid along the document and the best segment (match +1, substitution -3) is
-verified word by word.
+hash. Around each hit the item is laid along the document and compared word by word: the best segment (match +1,
+substitution -3) is reported if it meets the rule of ``overlaps``, else the longest segment whose share suffices.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -98,14 +99,28 @@ def best_segment(agree: np.ndarray) -> tuple[int, int]:
     return int(np.argmin(total[:end + 1])), end
 
 
+def longest_segment(agree: np.ndarray, least_share: Fraction) -> tuple[int, int]:
+    """Borders of the longest segment with an equal share of ``least_share``; of several, one with the most equal words."""
+    equal = np.concatenate([[0], np.cumsum(agree, dtype=np.int64)])
+    # In whole numbers: the share of (x, y) suffices if the surplus at y is not below that at x.
+    surplus = equal * least_share.denominator - np.arange(len(equal)) * least_share.numerator
+    low = np.minimum.accumulate(surplus)
+    start = np.searchsorted(-low, -surplus)  # the first place that is as low
+    end = int(np.lexsort((equal - equal[start], np.arange(len(equal)) - start))[-1])
+    return int(start[end]), end
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WORDS, least_share: float = LEAST_SHARE) -> DataFrame:
     """(doc_id, text_hash, item_id, doc_start, item_start, n_words, n_equal, share): the best overlap of each pair.
 
-    An overlap counts if it has ``least_words`` words, or all of a shorter item's, and an equal share of ``least_share``.
+    An overlap counts if it has ``least_words`` words, or all of a shorter item's, and an equal share of ``least_share``;
+    words at its ends may differ too. It is looked for where a seed hits: one whose substitutions leave no window of 8
+    words equal outside a mask's two positions (an 8-word item with its first word changed) is not found.
     Items under 8 words are found as a whole only, items under 5 words not at all. Null and empty texts have no overlap.
     Copies of a text under other ids, and repeated rows, are each reported once per id.
     """
     spark = docs.sparkSession
+    share = Fraction(str(least_share))
     items = stage(item_table(benchmark.filter("item_id is not null")), "items")
     lengths = tuple(sorted(r[0] for r in items.select((F.octet_length("words") / 8).cast("int").alias("n")).distinct()
                            .filter((F.col("n") >= SHORTEST) & (F.col("n") < SPAN)).collect()))
@@ -155,10 +170,12 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WOR
                 for s in sorted(shifts):
                     a, b = max(0, s), min(len(d), s + len(w))
                     agree = d[a:b] == w[a - s:b - s]
-                    x, y = best_segment(agree)
-                    n, equal = y - x, int(agree[x:y].sum())
-                    if n >= min(least_words, len(w)) and equal >= least_share * n and (best is None or equal > best[5]):
-                        best = (doc, h, item, a + x, a + x - s, equal, n)
+                    for x, y in (best_segment(agree), longest_segment(agree, share)):
+                        n, equal = y - x, int(agree[x:y].sum())
+                        if n >= min(least_words, len(w)) and equal * share.denominator >= share.numerator * n:
+                            if best is None or equal > best[5]:
+                                best = (doc, h, item, a + x, a + x - s, equal, n)
+                            break
                 if best:
                     rows.append(best)
             if rows:

@@ -4,6 +4,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -239,6 +240,34 @@ def test_overlaps_tolerate_substitutions(spark, docs):
     assert decontam.overlaps(docs([]), bench).count() == 0 and decontam.overlaps(docs(rows), bench.limit(0)).count() == 0
 
 
+def test_longest_segment_equals_all_segments():
+    rng = np.random.default_rng(5)
+    for n in [0, 1, 2, 13, *rng.integers(3, 40, 200)]:
+        agree = rng.random(n) < rng.choice([0.3, 0.6, 0.8, 0.95])
+        fits = [(y - x, int(agree[x:y].sum())) for x in range(n + 1) for y in range(x, n + 1) if 5 * agree[x:y].sum() >= 4 * (y - x)]
+        x, y = decontam.longest_segment(agree, Fraction("0.8"))
+        assert (y - x, int(agree[x:y].sum())) == max(fits)
+
+
+def test_overlaps_with_substitutions_that_split_the_best_segment(spark, docs):
+    rng = random.Random(8)
+    cases = [(27, range(12, 16)), (18, (8, 9, 10)), (15, (2,)), (15, (2, 7)), (8, (2,)), (13, (1,)), (60, (25, 26, 27, 33))]
+    items, rows, want = [], [], {}
+    for k, (n, changed) in enumerate(cases):
+        w = [f"i{k}w{j}" for j in range(n)]
+        items.append((k, " ".join(w)))
+        for at in changed:
+            w[at] = "other"
+        part = w[15:36] if n == 60 else w  # 10 + 3 + 5 + 1 + 2 words of a longer item
+        rows.append((k, " ".join([*(f"n{rng.random()}" for _ in range(20)), *part, *(f"n{rng.random()}" for _ in range(20))])))
+        want[k] = (len(part), len(part) - len(changed))
+    rows.append((90, " ".join(items[0][1].split()[:10])))  # 10 words of 27
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.n_words, r.n_equal) for r in decontam.overlaps(docs(rows), bench).collect()}
+    assert got == {(k, k): v for k, v in want.items()}
+    assert {r.doc_id for r in decontam.clean(docs(rows), bench).collect()} == {90}
+
+
 # ---- language ----------------------------------------------------------------------------------
 
 def test_language_of_documents_and_evidence(spark):
