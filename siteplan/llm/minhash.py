@@ -303,19 +303,23 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = (85, 100), wor
     source = source.withColumn("text_hash", F.xxhash64("text"))
     rows = stage(sketches(source, words), "sketches")
     ident = ["n_shingles", "s1", "s2"]
-    # A node is a distinct shingle set, named by its smallest doc_id; sets that only rows without id have get negative names.
+    # A node is a distinct shingle set, numbered as the table is written; its smallest doc_id with its smallest text hash
+    # stands for it.
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("one")
     sets = stage(rows.filter("n_shingles > 0").groupBy(*ident).agg(least, F.max("sig").alias("sig"))
                  .select(*ident, "sig", F.col("one.doc_id").alias("one_id"), F.col("one.text_hash").alias("one_hash"),
-                         F.coalesce("one.doc_id", -F.shiftrightunsigned(F.xxhash64(*ident), 2) - 2).alias("node")), "sets")
+                         F.monotonically_increasing_id().alias("node")), "sets")
     found = candidate_links(banded(sets), sets.select("node", "sig"), threshold[0] / threshold[1], block_rows)
     families = stage(components(found, "family"), "families")
     wanted = families.join(sets, "node").select("node", "sig", "one_id", "one_hash")
     texts = (source.join(wanted, F.col("doc_id").eqNullSafe(F.col("one_id")) & (F.col("text_hash") == F.col("one_hash")))
              .select("node", "sig", "text").dropDuplicates(["node"]))
     comp = components(confirmed_links(families, texts, threshold, words, family_rows))
-    name = F.coalesce("component", "node")
-    named = sets.join(comp, "node", "left").select(*ident, F.when(name >= 0, name).alias("component_id"))
+    linked = comp.join(sets.select("node", "one_id"), "node")
+    least_id = linked.groupBy("component").agg(F.min("one_id").alias("least_id"))
+    linked = lookup(linked, least_id, ["component"], [F.col("node")], "inner").select("node", "component", "least_id")
+    named = sets.join(linked, "node", "left").select(
+        *ident, F.when(F.col("component").isNull(), F.col("one_id")).otherwise(F.col("least_id")).alias("component_id"))
     out = lookup(rows.select("doc_id", "text_hash", *ident), named, ident, [F.coalesce("doc_id", F.lit(0)), F.col("s1")])
     return (out.withColumn("component_id", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")))
             .select("doc_id", "text_hash", "n_shingles", "component_id",

@@ -187,6 +187,18 @@ def test_equal_ids_with_different_texts(spark, docs):
     assert minhash.near_duplicates(docs([])).count() == 0
 
 
+def near_pairs(pairs):
+    """Two texts each of 60 words, with the last word changed in the second."""
+    return [(f"p{k}x " * 2 + " ".join(f"p{k}w{j}" for j in range(57)), f"p{k}x " * 2 + " ".join(f"p{k}w{j}" for j in range(56)) + " z") for k in range(pairs)]
+
+
+def test_each_text_of_an_id_has_its_own_links(spark, docs):
+    (a, a2), (b, b2), (c, c2) = near_pairs(3)
+    rows = [(1, a), (1, b), (2, b2), (3, a2), (-7, c), (4, c2), (None, "n o p q r s")]
+    got = Counter((r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(docs(rows)).collect())
+    assert got == Counter({(1, 1, True): 2, (2, 1, False): 1, (3, 1, False): 1, (-7, -7, True): 1, (4, -7, False): 1, (None, None, True): 1})
+
+
 def test_one_document_of_each_group_stays(spark, docs):
     rows = family_rows(2, 4, 12)
     out = minhash.distinct_documents(docs(rows + rows[:3]))
