@@ -290,15 +290,9 @@ def components(links: DataFrame, label: str = "component") -> DataFrame:
     return roots.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias(label)).distinct())
 
 
-def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = (85, 100), words: int = WORDS,
-                    block_rows: int = BLOCK_ROWS, family_rows: int = FAMILY_ROWS) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, component_id, kept), one row per row of ``docs`` (columns doc_id, text).
-
-    Two documents are linked when q * intersection >= p * union of their shingle sets, ``threshold`` being (p, q).
-    component_id is the smallest doc_id reachable. A null text is empty; documents without words have an empty set, no
-    link, and are kept. Repeated rows get equal results. A null doc_id takes part in links but never names a component
-    unless nothing in it has an id; then component_id is null and its rows are kept.
-    """
+def grouped(docs: DataFrame, threshold: tuple[int, int] = (85, 100), words: int = WORDS,
+            block_rows: int = BLOCK_ROWS, family_rows: int = FAMILY_ROWS) -> DataFrame:
+    """``near_duplicates`` and ``group``, a number of the component that does not rest on ids; null for a row without words."""
     source = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     source = source.withColumn("text_hash", F.xxhash64("text"))
     rows = stage(sketches(source, words), "sketches")
@@ -319,19 +313,39 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = (85, 100), wor
     least_id = linked.groupBy("component").agg(F.min("one_id").alias("least_id"))
     linked = lookup(linked, least_id, ["component"], [F.col("node")], "inner").select("node", "component", "least_id")
     named = sets.join(linked, "node", "left").select(
-        *ident, F.when(F.col("component").isNull(), F.col("one_id")).otherwise(F.col("least_id")).alias("component_id"))
+        *ident, F.coalesce("component", "node").alias("group"),
+        F.when(F.col("component").isNull(), F.col("one_id")).otherwise(F.col("least_id")).alias("component_id"))
     out = lookup(rows.select("doc_id", "text_hash", *ident), named, ident, [F.coalesce("doc_id", F.lit(0)), F.col("s1")])
     return (out.withColumn("component_id", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")))
             .select("doc_id", "text_hash", "n_shingles", "component_id",
-                    F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
+                    F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "group"))
+
+
+def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = (85, 100), words: int = WORDS,
+                    block_rows: int = BLOCK_ROWS, family_rows: int = FAMILY_ROWS) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, component_id, kept), one row per row of ``docs`` (columns doc_id, text).
+
+    Two documents are linked when q * intersection >= p * union of their shingle sets, ``threshold`` being (p, q).
+    component_id is the smallest doc_id reachable. A null text is empty; documents without words have an empty set, no
+    link, and are kept. Repeated rows get equal results. A null doc_id takes part in links but never names a component
+    unless nothing in it has an id; then component_id is null and its rows are kept.
+    """
+    return grouped(docs, threshold, words, block_rows, family_rows).drop("group")
 
 
 def distinct_documents(docs: DataFrame, threshold: tuple[int, int] = (85, 100)) -> DataFrame:
-    """The rows of ``docs`` that stay: one of each group of near-duplicates, and one of each repeated row."""
-    found = stage(near_duplicates(docs, threshold), "near")
-    keep = (found.filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "n_shingles"))
-    # Rows of one id can hold several texts with equal sets: the smallest text hash stays.
-    one = keep.groupBy("_id").agg(F.min(F.struct("_hash")).alias("_one")).select("_id", F.col("_one._hash").alias("_hash"))
-    marked = docs.withColumn("_text_hash", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    joined = marked.join(one, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")), "left_semi")
-    return joined.drop("_text_hash").select(*docs.columns)
+    """The rows of ``docs`` that stay: one of each group of near-duplicates, and one of each repeated row.
+
+    Of a group the smallest doc_id stays, a null one only if the group has no other, and of its texts the one with the
+    smallest hash. Unrelated texts stay, also without an id or under the same one. Rows without words are a group if id
+    and text are equal, a null text being an empty one.
+    """
+    found = stage(grouped(docs, threshold), "near")
+    alone = F.col("group").isNull()
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("_none"), F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("text_hash").alias("_hash")))
+    one = (found.groupBy("group", F.when(alone, F.col("doc_id")).alias("_a"), F.when(alone, F.col("text_hash")).alias("_b"))
+           .agg(first.alias("_one")).select("_one.*"))
+    number = F.col("doc_id").cast("long")
+    marked = docs.withColumns({"_none": number.isNull(), "_id": F.coalesce(number, F.lit(0)),
+                               "_hash": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
+    return marked.join(one, ["_none", "_id", "_hash"], "left_semi").select(*docs.columns)

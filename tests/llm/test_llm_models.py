@@ -206,6 +206,14 @@ def test_one_document_of_each_group_stays(spark, docs):
     assert sorted(r.doc_id for r in out.dropDuplicates(["doc_id"]).collect()) == sorted({c for _, _, c in brute_components(rows, 85, 100)})
 
 
+def test_survivors_are_chosen_by_group(spark, docs):
+    (a, a2), (b, b2), (c, c2), (d, d2) = near_pairs(4)
+    rows = [(None, a), (None, a2), (None, b), (None, "k l m n o p q"), (5, b2), (7, c), (7, d), (8, c2), (6, d2), (None, ""), (9, None), (9, " ")]
+    got = Counter((r.doc_id, r.text) for r in minhash.distinct_documents(docs(rows)).collect())
+    of_a = got.pop((None, a), 0) + got.pop((None, a2), 0)
+    assert of_a == 1 and got == Counter([(None, "k l m n o p q"), (5, b2), (7, c), (6, d2), (None, ""), (9, None), (9, " ")])
+
+
 def test_posterior_bound():
     least = minhash.least_agreements(0.85)
     assert least == sorted(least) and least[-1] < 0.85 * minhash.HASHES
