@@ -337,7 +337,7 @@ def distinct_documents(docs: DataFrame, threshold: tuple[int, int] = (85, 100))
     """The rows of ``docs`` that stay: one of each group of near-duplicates, and one of each repeated row.
 
     Of a group the smallest doc_id stays, a null one only if the group has no other, and of its texts the one with the
-    smallest hash. Unrelated texts stay, also without an id or under the same one. Rows without words are a group if id
+    smallest hash; of rows with that id and text the one with the smallest hash of all columns. Unrelated texts stay, also without an id or under the same one. Rows without words are a group if id
     and text are equal, a null text being an empty one.
     """
     found = stage(grouped(docs, threshold), "near")
@@ -348,4 +348,6 @@ def distinct_documents(docs: DataFrame, threshold: tuple[int, int] = (85, 100))
     number = F.col("doc_id").cast("long")
     marked = docs.withColumns({"_none": number.isNull(), "_id": F.coalesce(number, F.lit(0)),
                                "_hash": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
-    return marked.join(one, ["_none", "_id", "_hash"], "left_semi").select(*docs.columns)
+    key, row = ["_none", "_id", "_hash"], F.xxhash64(*docs.columns)
+    copies = lookup(marked, one, key, [row], "left_semi")
+    return copies.groupBy(*key).agg(F.min_by(F.struct(*docs.columns), row).alias("_row")).select("_row.*")

@@ -206,6 +206,14 @@ def test_one_document_of_each_group_stays(spark, docs):
     assert sorted(r.doc_id for r in out.dropDuplicates(["doc_id"]).collect()) == sorted({c for _, _, c in brute_components(rows, 85, 100)})
 
 
+def test_repeated_rows_stay_once(spark, docs):
+    rows = family_rows(2, 4, 12)
+    twice = docs(rows + rows[:3] + [(900, "a b c d e f")] * 3 + [(None, "g h i j k l")] * 2 + [(None, None)] * 2)
+    out = minhash.distinct_documents(twice.unionByName(twice.withColumn("source", F.lit("other")))).collect()
+    want = {c for _, _, c in brute_components(rows, 85, 100)}
+    assert Counter(r.doc_id for r in out) == Counter([*want, 900, None, None])
+
+
 def test_survivors_are_chosen_by_group(spark, docs):
     (a, a2), (b, b2), (c, c2), (d, d2) = near_pairs(4)
     rows = [(None, a), (None, a2), (None, b), (None, "k l m n o p q"), (5, b2), (7, c), (7, d), (8, c2), (6, d2), (None, ""), (9, None), (9, " ")]
