@@ -22,8 +22,8 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates (similarity 0.85 of 5-word shingles)."""
-    return minhash.distinct_documents(docs, (85, 100))
+    """The document with the smallest id of each group of near-duplicates (similarity 0.8 of 5-word shingles)."""
+    return minhash.distinct_documents(docs, (80, 100))
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

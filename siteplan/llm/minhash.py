@@ -1,13 +1,14 @@
 """MinHash near-duplicates with sequential Bayesian verification.
 
 Documents are sets of distinct word shingles. Equal sets are merged first. Each distinct set gets a signature of
-``BANDS * ROWS`` MinHash values (16 bits kept of each); sets that agree on a whole band are candidates. Within a
+``hashes_for(threshold)`` MinHash values (16 bits kept of each), in bands of ``ROWS``; sets that agree on a whole band are candidates. Within a
 bucket, signatures are compared a batch at a time: after n values with m agreements the posterior of the similarity
 (uniform prior) says how likely it reaches the threshold, and a pair is dropped when that is below ``MISS``. Pairs that
 survive all batches join their documents into families. Inside a family every pair is tested in the same way and the
 survivors are confirmed on the full shingle sets, so a link rests on exact sets only.
 
-With 24 bands of 5 rows a pair at the threshold shares no band with probability 8e-7. Buckets and families of any size
+There are as many bands as keep the probability that a pair at the threshold shares none below ``MISS``: 24 at 0.85
+(8e-7), 36 at 0.8 (6e-7). Buckets and families of any size
 are cut into blocks, compared as pairs of blocks: tasks stay small, and each sends on a spanning forest of its links,
 never all of them. Connected components are found by star contraction on written tables.
 """
@@ -15,7 +16,7 @@ never all of them. Connected components are found by star contraction on written
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import comb
+from math import ceil, exp, lgamma, log, log1p
 
 import numpy as np
 import pyarrow as pa
@@ -25,23 +26,34 @@ from pyspark.sql import functions as F
 from siteplan.llm.common import fold_table, lookup, mix, raw_texts, shingles, word_hashes
 from siteplan.session import stage
 
-WORDS, BANDS, ROWS, BATCH = 5, 24, 5, 20
-HASHES = BANDS * ROWS
+WORDS, ROWS, BATCH = 5, 5, 20
 MISS = 1e-6
 BLOCK_ROWS, FAMILY_ROWS = 1024, 256
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
 
-_rng = np.random.default_rng(20)
-MULTIPLY = _rng.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-ADD = _rng.integers(0, 2**63, HASHES, dtype=np.uint64)
 
+def hashes_for(threshold: float, miss: float = MISS) -> int:
+    """Signature length, in whole batches, at which a pair at the threshold shares no band with probability ``miss`` at most."""
+    if threshold >= 1:
+        return BATCH
+    return BATCH * ceil(log(miss) / log1p(-(threshold**ROWS)) * ROWS / BATCH)
 
-def signature(sets: np.ndarray) -> np.ndarray:
+
+HASHES = hashes_for(0.85)
+
+
+def permutations(hashes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Factors and summands of so many hash permutations."""
+    rng = np.random.default_rng(20)
+    return (rng.integers(1, 2**63, hashes, dtype=np.uint64) * np.uint64(2) + np.uint64(1), rng.integers(0, 2**63, hashes, dtype=np.uint64))
+
+
+def signature(sets: np.ndarray, multiply: np.ndarray, add: np.ndarray) -> np.ndarray:
     """The low 16 bits of the smallest of each permutation's values."""
-    low = np.full(HASHES, 2**64 - 1, np.uint64)
+    low = np.full(len(add), 2**64 - 1, np.uint64)
     for at in range(0, len(sets), 512):
-        x = sets[at:at + 512, None] * MULTIPLY
-        x += ADD
+        x = sets[at:at + 512, None] * multiply
+        x += add
         x ^= x >> np.uint64(32)
         np.minimum(low, x.min(axis=0), out=low)
     return mix(low).astype(np.uint16)
@@ -49,7 +61,7 @@ def signature(sets: np.ndarray) -> np.ndarray:
 
 def band_keys(sigs: np.ndarray) -> np.ndarray:
     """One 64-bit key per signature and band."""
-    key = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(sigs), 1))
+    key = np.tile(np.arange(1, sigs.shape[1] // ROWS + 1, dtype=np.uint64), (len(sigs), 1))
     for r in range(ROWS):
         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + sigs[:, r::ROWS].astype(np.uint64))
     return key
@@ -61,10 +73,11 @@ def least_agreements(threshold: float, miss: float = MISS) -> list[int]:
     The posterior is Beta(m + 1, n - m + 1); its upper tail is a binomial sum.
     """
     out = []
-    for n in range(BATCH, HASHES + 1, BATCH):
+    for n in range(BATCH, hashes_for(threshold) + 1, BATCH):
         tail, m = 0.0, 0
         while m <= n:
-            tail += comb(n + 1, m) * threshold**m * (1 - threshold) ** (n + 1 - m)
+            if threshold < 1:  # in logarithms, as long signatures have binomials beyond a float
+                tail += exp(lgamma(n + 2) - lgamma(m + 1) - lgamma(n + 2 - m) + m * log(threshold) + (n + 1 - m) * log1p(-threshold))
             if tail >= miss:
                 break
             m += 1
@@ -112,10 +125,10 @@ class Forest:
         return x != y
 
 
-def sketches(docs: DataFrame, words: int = WORDS) -> DataFrame:
+def sketches(docs: DataFrame, words: int = WORDS, hashes: int = HASHES) -> DataFrame:
     """(doc_id, text_hash, n_shingles, s1, s2, sig) per row; n_shingles, s1 and s2 identify the shingle set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = fold_table(separators=SPACES)
+        codes, (multiply, add) = fold_table(separators=SPACES), permutations(hashes)
         for batch in batches:
             n, s1, s2, sig = [], [], [], []
             for raw in raw_texts(batch.column(2)):
@@ -123,7 +136,7 @@ def sketches(docs: DataFrame, words: int = WORDS) -> DataFrame:
                 n.append(len(x))
                 s1.append(int(np.bitwise_xor.reduce(x).view(np.int64)) if len(x) else 0)
                 s2.append(int(mix(x.copy()).sum(dtype=np.uint64).view(np.int64)) if len(x) else 0)
-                sig.append(signature(x).tobytes() if len(x) else b"")
+                sig.append(signature(x, multiply, add).tobytes() if len(x) else b"")
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(s1, pa.int64()),
                  pa.array(s2, pa.int64()), pa.array(sig, pa.binary())],
@@ -139,7 +152,7 @@ def banded(sets: DataFrame) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 keys = band_keys(_sigs(batch.column(1))).view(np.int64)
-                nodes = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), BANDS)
+                nodes = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), keys.shape[1])
                 yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), pa.array(nodes)], ["key", "node"])
 
     return sets.select("node", "sig").mapInArrow(run, "key long, node long")
@@ -195,7 +208,7 @@ def block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBa
 
 
 def _sigs(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), HASHES)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(len(column), -1)
 
 
 def _link_batch(a: list[int], b: list[int]) -> pa.RecordBatch:
@@ -295,7 +308,7 @@ def grouped(docs: DataFrame, threshold: tuple[int, int] = (85, 100), words: int
     """``near_duplicates`` and ``group``, a number of the component that does not rest on ids; null for a row without words."""
     source = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     source = source.withColumn("text_hash", F.xxhash64("text"))
-    rows = stage(sketches(source, words), "sketches")
+    rows = stage(sketches(source, words, hashes_for(threshold[0] / threshold[1])), "sketches")
     ident = ["n_shingles", "s1", "s2"]
     # A node is a distinct shingle set, numbered as the table is written; its smallest doc_id with its smallest text hash
     # stands for it.

@@ -233,6 +233,23 @@ def test_posterior_bound():
     assert ok.mean() > 0.999
 
 
+@pytest.mark.parametrize("threshold", [0.5, 0.8, 0.85, 0.99, 1.0])
+def test_bands_keep_the_chance_of_a_miss(threshold):
+    n = minhash.hashes_for(threshold)
+    assert n % minhash.BATCH == 0 and (1 - threshold**minhash.ROWS) ** (n // minhash.ROWS) <= minhash.MISS
+    assert len(minhash.least_agreements(threshold)) == n // minhash.BATCH
+
+
+def test_pipeline_links_at_eight_tenths(spark, docs):
+    import corpus_pipeline as cp
+
+    words = [f"w{k}" for k in range(49)]
+    near, far = [*words[:-5], *"abcde"], [*words[:-6], *"fghijk"]  # 40 of 50, then 39 of 51 shingles in common with ``words``
+    rows = [(1, " ".join(words)), (2, " ".join(near)), (3, " ".join(far))]
+    got = cp.near_duplicates(spark, docs(rows), SMALL)
+    assert sorted(r.doc_id for r in got.collect()) == [1, 3]
+
+
 def test_long_path_is_one_component(spark):
     links = spark.createDataFrame([(k + 1, k) for k in range(300)] + [(1000, 1001)], "a long, b long")
     got = {r.node: r.component for r in minhash.components(links).collect()}
