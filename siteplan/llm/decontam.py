@@ -117,14 +117,16 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WOR
     words at its ends may differ too. It is looked for where a seed hits: one whose substitutions leave no window of 8
     words equal outside a mask's two positions (an 8-word item with its first word changed) is not found.
     Items under 8 words are found as a whole only, items under 5 words not at all. Null and empty texts have no overlap.
+    A null item_id is a value like others; several texts under one item_id are items of their own.
     Copies of a text under other ids, and repeated rows, are each reported once per id.
     """
     spark = docs.sparkSession
     share = Fraction(str(least_share))
-    items = stage(item_table(benchmark.filter("item_id is not null")), "items")
+    # An item is named by the hash of its id, which may be null, and its words.
+    items = stage(item_table(benchmark).withColumn("item", F.xxhash64("item_id", "words")).dropDuplicates(["item"]), "items")
     lengths = tuple(sorted(r[0] for r in items.select((F.octet_length("words") / 8).cast("int").alias("n")).distinct()
                            .filter((F.col("n") >= SHORTEST) & (F.col("n") < SPAN)).collect()))
-    item_seeds = items.select("item_id", F.explode(F.arrays_zip("at", "hash")).alias("s")).select("item_id", "s.at", "s.hash")
+    item_seeds = items.select("item", F.explode(F.arrays_zip("at", "hash")).alias("s")).select("item", "s.at", "s.hash")
     sent = spark.sparkContext.broadcast(seed_filter(item_seeds))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,12 +156,12 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WOR
     key = ["doc_id", "text_hash"]
     places = hits.select(*key, F.explode(F.arrays_zip("at", "hash")).alias("s")).select(*key, F.col("s.at").alias("doc_at"), "s.hash")
     met = lookup(places, item_seeds, ["hash"], [F.coalesce("doc_id", F.lit(0)), F.col("doc_at")], "inner")
-    pairs = (met.select(*key, "item_id", (F.col("doc_at") - F.col("at")).alias("shift")).distinct()
-             .groupBy(*key, "item_id").agg(F.collect_list("shift").alias("shifts")))  # fewer than the words of one document
+    pairs = (met.select(*key, "item", (F.col("doc_at") - F.col("at")).alias("shift")).distinct()
+             .groupBy(*key, "item").agg(F.collect_list("shift").alias("shifts")))  # fewer than the words of one document
     one = hits.select(*key, "doc_words").dropDuplicates(key)
     both = (pairs.withColumnsRenamed({"doc_id": "d", "text_hash": "h"})
             .join(one, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("h") == F.col("text_hash"))).drop("d", "h"))
-    full = lookup(both, items.select("item_id", F.col("words").alias("item_words")), ["item_id"], [F.col("text_hash")], "inner")
+    full = lookup(both, items.select("item", "item_id", F.col("words").alias("item_words")), ["item"], [F.col("text_hash")], "inner")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

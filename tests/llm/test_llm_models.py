@@ -313,6 +313,15 @@ def test_overlaps_with_substitutions_that_split_the_best_segment(spark, docs):
     assert {r.doc_id for r in decontam.clean(docs(rows), bench).collect()} == {90}
 
 
+def test_items_without_an_id_are_found(spark, docs):
+    passage = lambda k: " ".join(f"i{k}w{j}" for j in range(20))
+    bench = spark.createDataFrame([(None, passage(0)), (None, passage(1)), (None, passage(1)), (7, passage(2)), (7, passage(3)), (None, None)], "item_id long, text string")
+    rows = [(k, f"x y {passage(k)} z") for k in range(5)]
+    got = Counter((r.doc_id, r.item_id, r.n_words) for r in decontam.overlaps(docs(rows), bench).collect())
+    assert {(d, i) for d, i, _ in got} == {(0, None), (1, None), (2, 7), (3, 7)} and sum(got.values()) == 4
+    assert [r.doc_id for r in decontam.clean(docs(rows), bench).collect()] == [4]
+
+
 # ---- language ----------------------------------------------------------------------------------
 
 def test_language_of_documents_and_evidence(spark):
