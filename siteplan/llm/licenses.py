@@ -30,7 +30,7 @@ LICENSES = [
     ("bsd-2-clause", "bsd", r"(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd) license", r"bsd 2 clause"),
     ("bsd-3-clause", "bsd", r"(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised bsd) license", r"bsd 3 clause"),
     ("bsd-4-clause", "bsd", r"(?:bsd 4 clause|4 clause bsd|original bsd|old bsd) license", r"bsd 4 clause"),
-    ("0bsd", "bsd", r"(?:zero clause bsd|bsd zero clause|free public) license", r"0bsd"),
+    ("0bsd", "bsd", r"(?:zero clause bsd|bsd zero clause) license", r"0bsd"),
     ("isc", "isc", r"isc license", r"isc"),
     ("gpl-3.0", "general public license", r"gnu general public license(?: as published by the free software foundation)?(?: either)? (?:version|v) ?3", r"gpl 3 0(?: only| or later)?"),
     ("gpl-2.0", "general public license", r"gnu general public license(?: as published by the free software foundation)?(?: either)? (?:version|v) ?2", r"gpl 2 0(?: only| or later)?"),
@@ -89,6 +89,9 @@ CREATIVE_COMMONS = [
 ]
 CC_VERSIONS = ["1 0", "2 0", "2 5", "3 0", "4 0"]
 
+# Words before a license name that grant it.
+GRANT = r"(?:licensed|released|distributed|published|available|covered) (?:under|by) (?:the )?(?:terms of )?(?:the )?"
+
 # Phrases as (label, priority, keyword, expression).
 PHRASES = [
     ("mit", 0, "permission is hereby granted", r"permission is hereby granted free of charge to any person obtaining a copy"),
@@ -122,6 +125,8 @@ PHRASES = [
     ("gpl", 2, "gnu gpl", r"gnu gpl(?: ?v?[123])?"),
     ("lgpl", 2, "gnu lgpl", r"gnu lgpl(?: ?v?[23])?"),
     ("gpl", 2, "gplv", r"gplv[123]"),
+    ("0bsd", 1, "free public license", r"free public license"),
+    ("0bsd", 0, "free public license", rf"{GRANT}free public license"),
 ]
 
 
@@ -131,7 +136,7 @@ def rules() -> list[dict]:
     for label, word, name, short in LICENSES:
         out += [(label, 0, "spdx", rf"spdx license identifier {short}"),
                 (label, 1, word, name),
-                (label, 0, word, rf"(?:licensed|released|distributed|published|available|covered) (?:under|by) (?:the )?(?:terms of )?(?:the )?{name}"),
+                (label, 0, word, rf"{GRANT}{name}"),
                 (label, 0, "opensource org", rf"opensource org licenses? {short}")]
     for part, name, short in CREATIVE_COMMONS:
         out += [(f"cc-{part}-{v.replace(' ', '.')}", 0, "creative commons", rf"creative commons {name}(?: licen[cs]e)?(?: version)? {v}") for v in CC_VERSIONS]

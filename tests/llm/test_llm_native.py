@@ -72,6 +72,47 @@ def test_every_rule_compiles_and_contains_its_keyword_stem():
         assert any(s in r["keyword"] or s in r["expr"].replace("licen[cs]e", "license") for s in stems), r
 
 
+def samples(parsed):
+    """Strings that a parsed expression matches, among them one of each alternative, with optional parts in and out."""
+    out = [""]
+    for op, arg in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            step = [chr(arg)]
+        elif name == "BRANCH":
+            step = [x for branch in arg[1] for x in samples(branch)]
+        elif name == "SUBPATTERN":
+            step = samples(arg[3])
+        elif name in ("MAX_REPEAT", "MIN_REPEAT", "POSSESSIVE_REPEAT"):
+            one = samples(arg[2])
+            step = sorted({x * n for x in one for n in {arg[0], max(arg[0], min(arg[1], 1))}})
+        elif name == "IN":
+            step = [chr(arg[0][1] if str(arg[0][0]) == "LITERAL" else arg[0][1][0]) if str(arg[0][0]) != "CATEGORY" else "7"]
+            step = ["x"] if str(arg[0]) == "(CATEGORY, CATEGORY_WORD)" else step
+        elif name == "ANY":
+            step = ["x"]
+        else:
+            assert name in ("ASSERT", "ASSERT_NOT", "AT"), name
+            step = [""]
+        out = [a + b for a in out for b in step]
+    return out
+
+
+def test_every_alternative_contains_its_keyword():
+    n = 0
+    for r in licenses.rules():
+        for text in samples(re._parser.parse(r["expr"])):
+            n += bool(re.search(r["expr"], f" {text} "))
+            assert r["keyword"] in text, (r, text)
+    assert n > len(licenses.rules())
+
+
+def test_free_public_license(spark, docs):
+    texts = ["Free Public License 1.0.0", "Released under the Free Public License.", "Zero-Clause BSD License", "SPDX-License-Identifier: 0BSD", "free public library"]
+    got = {r.doc_id: r.labels for r in licenses.scan(docs(list(enumerate(texts)))).collect()}
+    assert got == {0: "0bsd", 1: "0bsd", 2: "0bsd", 3: "0bsd", 4: ""}
+
+
 def test_merkle_tree(spark, docs):
     a = "".join(f"One {k}. Two!\nThree {k}?\n\nFour {k}. Five\n" for k in range(3))
     rows = [(1, a), (2, a), (3, a.replace("Three 1", "Drei")), (4, None), (5, ""), (6, "x")]
