@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteplan.llm import decontam, langid, licenses, merkle, minhash, packing, quotes, sharding, toxicity, urltree
+from siteplan.llm import attention, decontam, langid, licenses, merkle, minhash, packing, quotes, sharding, toxicity, urltree
 from siteplan.session import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,9 @@ def op9_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations in reply order without quotes."""
     return quotes.conversations(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_causal_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all documents by the attention model, beside those of the smoothed word model."""
+    return attention.scored(table(spark, sf_dir, "documents"), tokenizer_files()[1])
