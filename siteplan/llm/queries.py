@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteplan.llm import attention, decontam, langid, licenses, merkle, minhash, packing, quotes, sharding, toxicity, urltree
+from siteplan.llm import (
+    attention, audit, decontam, langid, licenses, merkle, minhash, packing, quotes, resampling, sharding, toxicity, urltree)
 from siteplan.session import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +126,21 @@ def op10_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_causal_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probabilities of all documents by the attention model, beside those of the smoothed word model."""
     return attention.scored(table(spark, sf_dir, "documents"), tokenizer_files()[1])
+
+
+@query
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in all 120 orders, by source."""
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+SQL["op11_filter_audit"] = audit.SQL
+
+
+@query
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights of all documents towards the benchmark, and the tenth that is drawn."""
+    return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+SQL["op12_importance_resampling"] = resampling.SQL
