@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,32 @@ def lookup(df: DataFrame, table: DataFrame, on: Sequence[str], spread: Sequence[
             .join(many, [*on, "_salt"], how).drop("_salt"))
 
 
+def shielded(*used: str) -> Callable:
+    """For a function that returns rows of its first argument: it sees the columns ``used`` under their names, all others
+    under numbers.
+
+    So no column of the user meets one that the function adds, whatever its name (also with dots, or in another case), and
+    all come back unchanged, in their order and under their names.
+    """
+    def around(function: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        @wraps(function)
+        def run(docs: DataFrame, *args, **kwargs) -> DataFrame:
+            names = docs.columns
+            inner = [n if n in used else f"_user_{i}" for i, n in enumerate(names)]
+            return function(docs.toDF(*inner), *args, **kwargs).select(*inner).toDF(*names)
+        return run
+    return around
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns; maps, which have no order, as sorted text."""
+    def hashable(name: str, kind: str) -> Column:
+        if kind.startswith("map<"):
+            return F.to_json(F.array_sort(F.transform(F.map_entries(F.col(name)), lambda e: F.to_json(F.struct(e["key"].alias("k"), e["value"].alias("v"))))))
+        return F.to_json(F.struct(F.col(name))) if "map<" in kind or "variant" in kind else F.col(name)
+    return F.xxhash64(*[hashable(n, t) for n, t in df.dtypes])
+
+
 def without(df: DataFrame, rejected: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows of ``df`` whose (key, text hash) is not in ``rejected`` (columns ``_id``, ``_text_hash``); null ids match null ids."""
     return df.join(rejected, F.col(key).eqNullSafe(F.col("_id"))

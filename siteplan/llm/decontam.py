@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siteplan.llm.common import fold_table, lookup, mix, raw_texts, word_hashes
+from siteplan.llm.common import fold_table, lookup, mix, raw_texts, shielded, word_hashes
 from siteplan.session import stage
 
 SPAN = 8
@@ -190,6 +190,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WOR
         verify, "doc_id long, text_hash long, item_id long, doc_start long, item_start long, n_words long, n_equal long, share double")
 
 
+@shielded("doc_id", "text")
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without an overlap."""
     bad = stage(overlaps(docs, benchmark), "overlaps").select("doc_id", "text_hash").distinct()

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siteplan.llm.common import lookup, raw_texts, row_key, without
+from siteplan.llm.common import lookup, raw_texts, row_key, shielded, without
 from siteplan.session import stage
 
 LANGUAGES = ("de", "en", "es", "fr")
@@ -200,6 +200,7 @@ def identify(rows: DataFrame, model: np.ndarray, keys: Sequence[str], languages:
                        F.when(none, F.lit(1.0)).otherwise(1 / F.col("_sum")).alias("confidence"))
 
 
+@shielded("doc_id", "text", "lang", "source")
 def in_language(docs: DataFrame, languages: Sequence[str] = LANGUAGES, least: float = 0.5) -> DataFrame:
     """The rows of ``docs`` (doc_id, text, lang, source, ...) whose language is one of ``languages``.
 

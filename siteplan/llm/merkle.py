@@ -70,6 +70,9 @@ def with_next(df: DataFrame, key: str, carry: list[str]) -> DataFrame:
     Groups are cut at keys that occur (quantiles), about 500 rows each and 65,536 groups at most; the row at
     a cut also goes to the group above it as a guest. So every row is shuffled once.
     """
+    names = df.columns
+    inner = {c: f"_user_{i}" for i, c in enumerate(names)}
+    df, key, carry = df.toDF(*inner.values()), inner[key], [inner[c] for c in carry]
     n = df.count()
     groups = min(MAX_GROUPS, max(1, n // GROUP_ROWS))
     cuts = df.agg(F.percentile_approx(key, [i / groups for i in range(1, groups + 1)], max(10_000, 4 * groups)),
@@ -93,5 +96,6 @@ def with_next(df: DataFrame, key: str, carry: list[str]) -> DataFrame:
                                          F.xxhash64(*[F.col(c) for c in carry]).asc(), *[F.col(c) for c in carry])
     packed = F.struct(*carry)
     ahead = F.coalesce(F.lead(packed).over(w), F.first(packed).over(w))
+    own = {v: k for k, v in inner.items()}
     return (both.withColumn("_next", ahead).filter(~F.col("_guest"))
-            .select(*df.columns, *[F.col(f"_next.{c}").alias(f"next_{c}") for c in carry]))
+            .select(*df.columns, *[F.col(f"_next.{c}").alias(f"_next_{c}") for c in carry]).toDF(*names, *[f"next_{own[c]}" for c in carry]))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siteplan.llm.common import fold_table, lookup, mix, raw_texts, shingles, word_hashes
+from siteplan.llm.common import fold_table, lookup, mix, raw_texts, row_hash, shielded, shingles, word_hashes
 from siteplan.session import stage
 
 WORDS, ROWS, BATCH = 5, 5, 20
@@ -346,6 +346,7 @@ def near_duplicates(docs: DataFrame, threshold: tuple[int, int] = (85, 100), wor
     return grouped(docs, threshold, words, block_rows, family_rows).drop("group")
 
 
+@shielded("doc_id", "text")
 def distinct_documents(docs: DataFrame, threshold: tuple[int, int] = (85, 100)) -> DataFrame:
     """The rows of ``docs`` that stay: one of each group of near-duplicates, and one of each repeated row.
 
@@ -361,6 +362,7 @@ def distinct_documents(docs: DataFrame, threshold: tuple[int, int] = (85, 100))
     number = F.col("doc_id").cast("long")
     marked = docs.withColumns({"_none": number.isNull(), "_id": F.coalesce(number, F.lit(0)),
                                "_hash": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
-    key, row = ["_none", "_id", "_hash"], F.xxhash64(*docs.columns)
-    copies = lookup(marked, one, key, [row], "left_semi")
-    return copies.groupBy(*key).agg(F.min_by(F.struct(*docs.columns), row).alias("_row")).select("_row.*")
+    key, row = ["_none", "_id", "_hash"], row_hash(docs)
+    marked = marked.withColumn("_row", row)
+    copies = lookup(marked, one, key, [F.col("_row")], "left_semi")
+    return copies.groupBy(*key).agg(F.min_by(F.struct(*docs.columns), "_row").alias("_one")).select("_one.*")

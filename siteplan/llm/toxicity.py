@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siteplan.llm.common import blocks, fold_table, mix, raw_texts, row_key, without, word_spans
+from siteplan.llm.common import blocks, fold_table, mix, raw_texts, row_key, shielded, without, word_spans
 
 WORD_BYTES = bytes([*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)])
 FEATURE_BITS = 22
@@ -56,6 +56,10 @@ def held_out(key: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), F.lit(4)) == 2
 
 
+def bytes_of(numbers: np.ndarray) -> bytes:
+    return np.asarray(numbers, ">i4").tobytes()
+
+
 @dataclass
 class Model:
     """Weights by feature number, mean over the classifiers being taken of probabilities."""
@@ -168,7 +172,8 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabell
                 found.append(np.unique(at[at >= 0]))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32()))], ["p", "u", "f"])
 
-    rows = sample.mapInArrow(read, "p boolean, u boolean, f array<int>").orderBy("p", "u", "f").toPandas()  # bounded by the parameters
+    rows = sample.mapInArrow(read, "p boolean, u boolean, f array<int>").toPandas()  # bounded by the parameters
+    rows = rows.assign(at=rows["f"].map(bytes_of)).sort_values(["p", "u", "at"])  # whatever the order in which tasks end
     pos = [np.asarray(f, np.int64) for f in rows.loc[rows["p"], "f"]]
     un = [np.asarray(f, np.int64) for f in rows.loc[rows["u"], "f"]]
     return Model(place, np.column_stack([train(pos, un, len(chosen), prior, seed) for seed in range(MODELS)]), prior)
@@ -190,6 +195,7 @@ def scored(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), t
     return rows.mapInArrow(run, f"{types}, score double")
 
 
+@shielded("doc_id", "text")
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """The rows of ``docs`` (doc_id, text, ...) whose score is below ``threshold``."""
     found = scored(docs.select(*row_key(), "text"), fit(docs, labels), ("_id", "_text_hash"))
