@@ -18,6 +18,7 @@ from siteplan.llm.common import lookup
 from siteplan.session import stage
 
 BITS = 25  # the filter of repeated hashes has two to this power bits, 4 MB
+HOT_PARTS = 64
 BLANKS = "[\\x20\\x09-\\x0D]+"
 
 
@@ -49,14 +50,20 @@ def _may_hold(df: DataFrame, bit_map: DataFrame, column: str) -> DataFrame:
 def copies_of_smaller(texts: DataFrame, hashes: DataFrame) -> DataFrame:
     """Distinct (doc_id, h) of the rows of ``texts`` (doc_id, h, text) whose text has a smaller doc_id too.
 
-    Only texts whose hash comes twice in ``hashes`` (h) are moved. Of a group of equal texts the smallest id stands on the
-    right side of the semi-join, so that a group of any size is one row there; on the left Spark splits it.
+    Only texts whose hash comes twice in ``hashes`` (h) are moved; they are written first, as the planner would otherwise
+    put the semi-join before the filter. Of a group of equal texts the smallest id stands on the right side. A group above a
+    thousandth of all rows, of which there can be a thousand, is split into parts on the left.
     """
-    twice = hashes.groupBy("h").count().filter("count > 1")
-    some = _may_hold(texts.filter("doc_id is not null"), _bit_map(twice, "h"), "h")
-    first = some.groupBy("h", "text").agg(F.min("doc_id").alias("first"))
-    return (some.alias("l").join(first.alias("r"), (F.col("l.h") == F.col("r.h")) & (F.col("l.text") == F.col("r.text"))
-                                 & (F.col("r.first") < F.col("l.doc_id")), "left_semi").select("doc_id", "h").distinct())
+    twice = stage(hashes.groupBy("h").count().filter("count > 1"), "twice")
+    hot = F.broadcast(twice.filter(F.col("count") > hashes.count() / 1000).select("h", F.lit(HOT_PARTS).alias("parts")))  # 1000 rows
+    some = stage(_may_hold(texts.filter("doc_id is not null"), _bit_map(twice, "h"), "h").join(hot, "h", "left")
+                 .withColumn("parts", F.coalesce("parts", F.lit(1))), "candidates")
+    first = (some.groupBy("h", "text").agg(F.min("doc_id").alias("first"), F.max("parts").alias("parts"))
+             .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))))
+    spread = some.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
+    same = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("h", "part", "text")]
+    return (spread.alias("l").join(first.alias("r"), same[0] & same[1] & same[2] & (F.col("r.first") < F.col("l.doc_id")), "left_semi")
+            .select("doc_id", "h").distinct())
 
 
 def combinations(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, list[str]]:
