@@ -3,4 +3,4 @@
 from __future__ import annotations
 
 from checks.base import REGISTRY, Query  # noqa: F401
-from checks import q_sources, q_supply, q_geo, q_models, q_fits, q_plan, q_quality  # noqa: F401,E402
+from checks import q_sources, q_supply, q_geo, q_models, q_fits, q_recomputed, q_plan, q_quality, q_offline  # noqa: F401,E402

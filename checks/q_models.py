@@ -149,8 +149,11 @@ def _test(t: Tables, target: str) -> DataFrame:
     return _rows(t, target).filter(F.col("year") == MODEL_YEARS.test)
 
 
-def _fit(t: Tables, target: str, name: str) -> models.Fitted:
-    return t._once(f"{name}_{target}", lambda: models.FITTERS[name](_train(t, target)))
+def _fit(t: Tables, target: str, name: str) -> models.AnyFit:
+    """The fit of one target; those of both are made together."""
+    def make() -> dict[str, models.AnyFit]:
+        return dict(zip(models.TARGETS, models.fit_all(name, [_train(t, x) for x in models.TARGETS]), strict=True))
+    return t._once(f"fits_{name}", make)[target]
 
 
 def _latest(t: Tables):
@@ -198,9 +201,13 @@ def _(t: Tables) -> DataFrame:
     return _scored_test(t, "forest")
 
 
+def _test_scores(t: Tables, target: str) -> DataFrame:
+    return t._once(f"test_scores_{target}", lambda: models.test_scores(_rows(t, target), MODEL_YEARS, {n: _fit(t, target, n) for n in models.FITTERS}))
+
+
 def _evaluated(t: Tables) -> DataFrame:
     def part(target: str) -> DataFrame:
-        return models.evaluate_target(_rows(t, target), target, MODEL_YEARS, {n: _fit(t, target, n) for n in models.FITTERS})
+        return models.evaluate_scores(_test_scores(t, target), target)
     return t._once("evaluated", lambda: stage(_both(part), "evaluated"))
 
 
@@ -209,8 +216,12 @@ def _(t: Tables) -> DataFrame:
     return _evaluated(t)
 
 
+def _held_out_scores(t: Tables) -> DataFrame:
+    return t._once("held_out", lambda: models.held_out_scores({x: _rows(t, x) for x in models.TARGETS}, MODEL_YEARS))
+
+
 def _held_out_states(t: Tables) -> DataFrame:
-    return t._once("cv", lambda: stage(_both(lambda target: models.grouped_cv(_rows(t, target), MODEL_YEARS)), "cv"))
+    return t._once("cv", lambda: stage(models.grouped_cv(_held_out_scores(t)), "cv"))
 
 
 @query("m7_states_held_out")
@@ -231,9 +242,13 @@ def _(t: Tables) -> DataFrame:
     return _both(part)
 
 
+def _shuffled(t: Tables, target: str) -> DataFrame:
+    return t._once(f"shuffled_{target}", lambda: models.shuffled_scores(_fit(t, target, "forest"), _test(t, target)))
+
+
 @query("m14_permutation_importance")
 def _(t: Tables) -> DataFrame:
-    return _both(lambda target: models.permutation_importance(_fit(t, target, "forest"), _test(t, target)))
+    return _both(lambda target: models.importance_of(_shuffled(t, target)))
 
 
 @query("m17_latest_scores")

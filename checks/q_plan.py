@@ -174,6 +174,27 @@ def _(t: Tables) -> DataFrame:
     return rounded(selection.greedy_gap(_priced_cand(t), GREEDY_BUDGET), {"bound": 6, "greedy_value": 6, "gap": 6})
 
 
+# Costs in whole steps of 100,000, so that SQL can fill a table of the best value for each amount of money.
+STEPS = 600
+CTES["step_cand"] = (["priced_cand"], "select fips, k, value, cast(round(cost / 1e5) as bigint) as steps from priced_cand")
+
+
+@query("c10_exact_selection", f"""with recursive {with_ctes('step_cand', then='')[5:].rstrip()},
+  area as materialized (select fips, max(steps) as s, max(case when k = 1 then value end) as v1, max(case when k = 2 then value end) as v2,
+    max(case when k = 3 then value end) as v3, row_number() over (order by fips) as i from step_cand group by fips),
+  fill as (select 0::bigint as i, list_transform(range({STEPS + 1}), lambda b: 0e0) as best
+    union all select a.i, list_transform(list_zip(f.best, {', '.join(f'list_concat(repeat([-1e9], cast({k} * a.s as int)), f.best[1:{STEPS + 1} - {k} * a.s])' for k in (1, 2, 3))}),
+      lambda x: greatest(x[1], x[2] + a.v1, x[3] + a.v1 + a.v2, x[4] + a.v1 + a.v2 + a.v3)) from fill f join area a on a.i = f.i + 1)
+  select 'exact (core search)' as method, round(best[{STEPS + 1}], 6) as value, true as affordable, true as in_order
+  from fill order by i desc limit 1""")
+def _(t: Tables) -> DataFrame:
+    cand = _priced_cand(t).withColumn("cost", F.round(F.col("cost") / 1e5) * 1e5)
+    picks, method = selection.select_sites(cand, STEPS * 1e5, exact=True)
+    chains = picks.groupBy("fips").agg(F.max("k").alias("last"), F.count("*").alias("n"), F.sum("value").alias("value"), F.sum("cost").alias("cost"))
+    return chains.agg(F.lit(method).alias("method"), F.round(F.sum("value"), 6).alias("value"), (F.sum("cost") <= STEPS * 1e5).alias("affordable"),
+                      F.bool_and(F.col("last") == F.col("n")).alias("in_order"))
+
+
 @query("c11_selection_methods", with_ctes("cand", "priced_cand", then=f"""select 'enough' as money, 'exact (equal costs)' as method, least(count(*), 50) as sites from cand
   union all select 'too little', 'exact (equal costs)', count(*) from cand where cost <= 1
   union all select 'no candidates', 'none', count(*) from cand where value > 1e9

@@ -194,6 +194,16 @@ def _(t: Tables) -> DataFrame:
                        F.round(F.array_max(F.transform(ring, lambda p: p[1])), 4).alias("north"))
 
 
+@query("s15_file_digests", "select sha256(n_name || chr(10) || n_nationkey || chr(10)) as sha256, length(n_name || n_nationkey) + 2 as bytes from nation")
+def _(t: Tables) -> DataFrame:
+    """One file a nation, of two lines; its digest and size as found by reading the file."""
+    from siteplan.session import scratch_path
+    path = scratch_path(t.spark, "digests")
+    lines = t.raw("nation").select("n_nationkey", F.concat_ws("\n", "n_name", F.col("n_nationkey").cast("string")).alias("value"))
+    lines.repartition("n_nationkey").write.partitionBy("n_nationkey").text(path)
+    return sinks.file_inventory(t.spark, [path]).filter("bytes > 0 and name like 'part-%'").select("sha256", F.col("bytes").cast("long").alias("bytes"))
+
+
 @query("s15_file_inventory")
 def _(t: Tables) -> DataFrame:
     paths = sorted(glob.glob(f"{t.dir}/*.parquet"))

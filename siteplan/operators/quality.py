@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 
@@ -87,3 +87,16 @@ def label_mismatches(panel: DataFrame, last_label_year: int) -> DataFrame:
         "label_after_last_year": (F.col("year") > last_label_year)
         & (F.col("y_new_site").isNotNull() | F.col("y_first_site").isNotNull()),
     })
+
+
+def write_checked(df: DataFrame, path: str, rules: Mapping[str, Column], keys: Sequence[str] = ()) -> tuple[DataFrame, dict[str, int]]:
+    """Write ``df`` as Parquet and count, for each rule, the rows where it holds, in the job that writes: (the table, counts).
+
+    The counts are taken right below the write, so that no later stage can repeat them. ``keys`` are columns whose nulls are
+    counted too, as ``null_<column>``.
+    """
+    seen = Observation("written")
+    nulls = {f"null_{c}": F.col(c).isNull() for c in keys}
+    counts = [F.coalesce(F.count_if(rule), F.lit(0)).alias(name) for name, rule in {**rules, **nulls}.items()]
+    df.observe(seen, *counts).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), {k: int(v) for k, v in seen.get.items()}

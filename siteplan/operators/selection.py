@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siteplan.operators.exact import select_exact
 from siteplan.operators.ordering import prefix_sums, row_numbers, top_rows
 from siteplan.session import stage
 
@@ -79,14 +80,21 @@ def select_greedy(cand: DataFrame, budget: float) -> DataFrame:
     return out.select(*cand.columns)
 
 
-def select_sites(cand: DataFrame, budget: float) -> tuple[DataFrame, str]:
-    """(chosen rows, method). An empty result keeps the schema."""
+def select_sites(cand: DataFrame, budget: float, exact: bool = False) -> tuple[DataFrame, str]:
+    """(chosen rows, method). An empty result keeps the schema.
+
+    With ``exact``, unequal costs are searched for the best selection; the method says so if the search had to give up.
+    """
     c = cand.agg(F.min("cost").alias("low"), F.max("cost").alias("high")).first()
     if c["low"] is None:
         return cand, "none"
     if c["low"] == c["high"]:
         return select_equal_cost(cand, budget, c["low"]), "exact (equal costs)"
-    return select_greedy(cand, budget), "greedy (value per dollar)"
+    greedy = select_greedy(cand, budget)
+    if not exact:
+        return greedy, "greedy (value per dollar)"
+    best, proven = select_exact(cand, budget, greedy)
+    return best, "exact (core search)" if proven else "greedy (value per dollar), core too large"
 
 
 def budget_bound(cand: DataFrame, budget: float) -> DataFrame:

@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
+from functools import reduce
 
-from pyspark.ml import Model
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+import numpy as np
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +16,8 @@ from pyspark.sql import functions as F
 from siteplan.functions.transforms import FEATURES, complete_cases, model_features
 from siteplan.operators import metrics as mt
 from siteplan.operators.ordering import percentile_ranks, row_numbers
-from siteplan.plans.l1path import l1_grid
+from siteplan.plans.forest import TREES, ForestFit, grow
+from siteplan.plans.l1path import Fold, LogitCell, clustered_scores, l1_grid, logit_grid
 from siteplan.session import stage
 
 # Targets, their cuts and the baselines.
@@ -27,7 +26,6 @@ CUT = {"A": 100, "B": 50}
 SEED = 42
 BASELINES = {"rank_by_population": "log_pop", "rank_by_freeway_vmt": "log_fwy_vmt",
              "rank_by_existing_ports": "log_dcfc_ports"}
-PARALLEL_FITS = 4
 
 
 @dataclass(frozen=True)
@@ -56,7 +54,10 @@ class Scaler:
         dev = F.stddev_samp if sample else F.stddev_pop
         row = train.agg(*[F.avg(f).alias(f"m_{f}") for f in features],
                         *[dev(f).alias(f"s_{f}") for f in features]).first()
-        return cls(list(features), [row[f"m_{f}"] for f in features], [row[f"s_{f}"] for f in features])
+        mean = [row[f"m_{f}"] for f in features]
+        # What is left of a constant column by rounding is no deviation.
+        sd = [0.0 if s is not None and s <= 1e-12 * abs(m) else s for s, m in zip((row[f"s_{f}"] for f in features), mean, strict=True)]
+        return cls(list(features), mean, sd)
 
     def varying(self) -> Scaler:
         """Without the features that never vary."""
@@ -72,27 +73,12 @@ class Scaler:
         return df.withColumn(out, array_to_vector(F.array(*[self.column(f) for f in self.features])))
 
 
-def feature_vector(df: DataFrame, features: Sequence[str] = FEATURES, out: str = "x") -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol=out).transform(df)
-
-
 def training_rows(panel: DataFrame, target: str) -> DataFrame:
     """Complete cases of a target with fips, state, year, y and the features."""
     return complete_cases(model_features(panel), TARGETS[target]).select(
         "fips", "state", "year", F.col(TARGETS[target]).alias("y"), *[F.col(f).cast("double").alias(f) for f in FEATURES])
 
 
-@dataclass(frozen=True)
-class Fitted:
-    """A tree model on raw features."""
-
-    model: Model
-
-    def score(self, df: DataFrame, out: str = "p") -> DataFrame:
-        return (self.model.transform(feature_vector(df)).withColumn(out, vector_to_array("probability")[1])
-                .drop("probability", "rawPrediction", "prediction", "x"))
-
-
 @dataclass(frozen=True)
 class LinearFit:
     """A logistic model on standardized features; scoring is Column arithmetic."""
@@ -115,21 +101,55 @@ CELL_ROWS_PER_TASK = 500_000
 
 
 def compact(df: DataFrame, rows: int) -> DataFrame:
-    """Fewer partitions for few rows: every solver step is a job with one task per partition.
+    """Fewer partitions for few rows: every step of a library solver is a job with one task per partition.
 
     Only ever lowers the number, so large inputs keep theirs.
     """
     return df.coalesce(max(1, math.ceil(rows / ROWS_PER_TASK)))
 
 
+def solver_rows(parts: Sequence[DataFrame], cells: int) -> tuple[list[Scaler], DataFrame]:
+    """(scaler of each part, cached rows of all parts with xs, y, part, fold and state) for the shared-pass solvers.
+
+    A part without a column ``fold`` has all its rows in fold 0. A pass costs rows x cells: that work is spread, up to the
+    usual number of partitions.
+    """
+    scalers = [Scaler.fit(p) for p in parts]
+    ready = None
+    for i, (p, sc) in enumerate(zip(parts, scalers, strict=True)):
+        xs = F.array(*[sc.column(f) for f in sc.features], F.lit(1.0)).alias("xs")
+        fold = F.col("fold").cast("int") if "fold" in p.columns else F.lit(0)
+        one = p.select(xs, F.col("y").cast("double").alias("y"), F.lit(i).alias("part"), fold.alias("fold"), F.col("state").cast("string").alias("state"))
+        ready = one if ready is None else ready.unionByName(one)
+    spark = ready.sparkSession
+    most = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ready = ready.persist()
+    total = ready.count()
+    dealt = ready.repartition(max(1, min(most, math.ceil(total * cells / CELL_ROWS_PER_TASK)))).persist()
+    dealt.count()
+    ready.unpersist()
+    return scalers, dealt
+
+
+def _logit(sc: Scaler, cell: LogitCell) -> LinearFit:
+    return LinearFit(sc, cell.intercept, cell.coefficients, {"converged": cell.converged, "information": cell.information})
+
+
+def fit_logits(parts: Sequence[DataFrame], folds: Sequence[Fold] | None = None) -> list[LinearFit]:
+    """Practically unpenalized logistic regressions on standardized features, one for each of ``folds``, in shared passes.
+
+    Without ``folds``, one on all rows of each part. ``extra`` says whether a fit has converged.
+    """
+    cells = [Fold(i, -1) for i in range(len(parts))] if folds is None else list(folds)
+    scalers, rows = solver_rows(parts, len(cells))
+    try:
+        return [_logit(scalers[f.part], c) for f, c in zip(cells, logit_grid(rows, len(FEATURES), cells), strict=True)]
+    finally:
+        rows.unpersist()
+
+
 def fit_logit(train: DataFrame) -> LinearFit:
-    """Practically unpenalized logistic regression on standardized features."""
-    sc = Scaler.fit(train)
-    n = train.count()
-    # The strength C of the usual toolkits is 1 / (C n) here, as Spark averages the loss over rows.
-    m = LogisticRegression(featuresCol="x", labelCol="y", regParam=1.0 / (1e6 * n), standardization=False, maxIter=200,
-                           tol=1e-8).fit(compact(sc.apply(train).select("x", "y"), n))
-    return LinearFit(sc, float(m.intercept), [float(v) for v in m.coefficients], {})
+    return fit_logits([train])[0]
 
 
 C_GRID = [10 ** (-4 + 8 * i / 19) for i in range(20)]
@@ -141,65 +161,62 @@ def stratified_folds(train: DataFrame, folds: int = 5) -> DataFrame:
             .withColumn("fold", ((F.col("_rn") - 1) % folds).cast("int")).drop("_rn"))
 
 
-def fit_lasso(train: DataFrame, grid: Sequence[float] = C_GRID, folds: int = 5) -> LinearFit:
-    """L1 logistic regression; strength with the best mean AUC over stratified folds, then a refit.
+def fit_lassos(parts: Sequence[DataFrame], grid: Sequence[float] = C_GRID, folds: int = 5) -> list[LinearFit]:
+    """L1 logistic regression of each part; strength with the best mean AUC over stratified folds, then a refit.
 
-    Features are scaled once on all training rows. The grid is fitted in a few shared passes, and
-    the held-out rows of all cells are scored by one join with the small table of coefficients.
+    Features are scaled once on all training rows. The grids of all parts are fitted in a few shared passes, and the
+    held-out rows of all cells are scored by one join with the small table of coefficients.
     """
-    spark = train.sparkSession
-    sc = Scaler.fit(train)
-    total = train.count()
-    scaled = F.array(*[sc.column(f) for f in sc.features], F.lit(1.0))
-    dealt = stratified_folds(train, folds).select(scaled.alias("xs"), F.col("y").cast("double").alias("y"), "fold")
-    # A pass costs rows x cells of the grid: spread that work, up to the usual number of partitions.
-    most = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ready = dealt.repartition(min(most, math.ceil(total * folds * len(grid) / CELL_ROWS_PER_TASK))).persist()
+    spark = parts[0].sparkSession
+    scalers, ready = solver_rows([stratified_folds(p, folds) for p in parts], folds * len(grid))
+    width = len(FEATURES)
     try:
-        cells = [(f, c) for f in range(folds) for c in range(len(grid))]
-        fits = l1_grid(ready, len(sc.features), [(f, grid[c]) for f, c in cells])
+        cells = [(p, f, c) for p in range(len(parts)) for f in range(folds) for c in range(len(grid))]
+        fits = l1_grid(ready, width, [(Fold(p, f), grid[c]) for p, f, c in cells])
         # A strength counts only if its fits of all folds have converged.
-        loose = {c for (_, c), fit in zip(cells, fits, strict=True) if not fit.converged}
+        loose = {(p, c) for (p, _, c), fit in zip(cells, fits, strict=True) if not fit.converged}
         coefs = spark.createDataFrame([(*cell, fit.intercept, fit.coefficients) for cell, fit in zip(cells, fits, strict=True)
-                                       if cell[1] not in loose], "fold int, c int, b0 double, b array<double>")
-        held = ready.join(F.broadcast(coefs), "fold")  # one row per cell of the grid
+                                       if (cell[0], cell[2]) not in loose], "part int, fold int, c int, b0 double, b array<double>")
+        held = ready.join(F.broadcast(coefs), ["part", "fold"])  # one row per cell of the grid
         margin = F.aggregate(F.zip_with("xs", "b", lambda x, b: F.coalesce(x * b, F.lit(0.0))), F.col("b0"), lambda a, v: a + v)
-        auc = (mt.roc_auc(held.select("fold", "c", "y", margin.alias("s")), "y", "s", ["fold", "c"])
-               .groupBy("c").agg(F.avg("roc_auc").alias("auc")).orderBy(F.col("auc").desc(), "c").first())
-        if auc is None:
-            raise RuntimeError("no strength of the L1 grid converged on all folds")
-        best = grid[auc["c"]]
-        last = l1_grid(ready, len(sc.features), [(-1, best)])[0]  # on all rows
-        if not last.converged:
-            raise RuntimeError(f"the L1 fit with C = {best} did not converge")
-        return LinearFit(sc, last.intercept, last.coefficients, {"C": best, "cv_auc": auc["auc"]})
+        auc = (mt.roc_auc(held.select("part", "fold", "c", "y", margin.alias("s")), "y", "s", ["part", "fold", "c"])
+               .groupBy("part", "c").agg(F.avg("roc_auc").alias("auc")).collect())  # a row for each strength
+        chosen = []
+        for p in range(len(parts)):
+            best = min((r for r in auc if r["part"] == p), key=lambda r: (-r["auc"], r["c"]), default=None)
+            if best is None:
+                raise RuntimeError("no strength of the L1 grid converged on all folds")
+            chosen.append(best)
+        last = l1_grid(ready, width, [(Fold(p, -1), grid[r["c"]]) for p, r in enumerate(chosen)])  # on all rows
+        for fit, r in zip(last, chosen, strict=True):
+            if not fit.converged:
+                raise RuntimeError(f"the L1 fit with C = {grid[r['c']]} did not converge")
+        return [LinearFit(sc, fit.intercept, fit.coefficients, {"C": grid[r["c"]], "cv_auc": r["auc"]})
+                for sc, fit, r in zip(scalers, last, chosen, strict=True)]
     finally:
         ready.unpersist()
 
 
-FOREST_PARTS = 32
-FOREST_ROWS = 2_000_000
-
+def fit_lasso(train: DataFrame, grid: Sequence[float] = C_GRID, folds: int = 5) -> LinearFit:
+    return fit_lassos([train], grid, folds)[0]
 
-def fit_forest(train: DataFrame, trees: int = 400, max_rows: int = FOREST_ROWS) -> Fitted:
-    """Random forest on about ``max_rows`` labelled rows at most, drawn by a hash of their key.
 
-    Leaves hold 20 rows or more, so the bound also bounds the model on the driver. Rows are dealt to a fixed number
-    of parts by their key: the seed alone decides the trees, not the cores or the input's files.
-    """
-    rf = RandomForestClassifier(featuresCol="x", labelCol="y", numTrees=trees, minInstancesPerNode=20,
-                                featureSubsetStrategy="0.5", maxDepth=30, maxBins=32, maxMemoryInMB=1024, cacheNodeIds=True, seed=SEED)
-    place = F.pmod(F.xxhash64("fips", "year"), F.lit(FOREST_PARTS))
-    share = max_rows / max(train.count(), max_rows)
-    kept = train.filter(F.pmod(F.xxhash64(F.lit(SEED), "fips", "year"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
-    rows = feature_vector(kept.repartition(FOREST_PARTS, place)).select("x", "y")
-    return Fitted(rf.fit(rows))
+def fit_forest(train: DataFrame, trees: int = TREES) -> ForestFit:
+    return grow([train], [Fold(0, -1)], trees).fit(0)
 
 
-AnyFit = Fitted | LinearFit
+AnyFit = ForestFit | LinearFit
 FITTERS: dict[str, Callable[[DataFrame], AnyFit]] = {"logit": fit_logit, "lasso": fit_lasso, "forest": fit_forest}
 
 
+def fit_all(name: str, parts: Sequence[DataFrame]) -> list[AnyFit]:
+    """A fit of each part, all made in the same passes."""
+    if name == "forest":
+        forest = grow(parts, [Fold(i, -1) for i in range(len(parts))])
+        return [forest.fit(i) for i in range(len(parts))]
+    return {"logit": fit_logits, "lasso": fit_lassos}[name](parts)
+
+
 def baseline_scores(test: DataFrame) -> DataFrame:
     """(fips, y, model, p): test rows ranked by one column each, ties at their average rank."""
     ranks = percentile_ranks(test, "fips", {m: (F.col(c), 1) for m, c in BASELINES.items()})
@@ -207,14 +224,23 @@ def baseline_scores(test: DataFrame) -> DataFrame:
     return test.select("fips", "y").join(long, "fips").select("fips", "y", "model", "p")
 
 
-def evaluate_target(rows: DataFrame, target: str, years: Years, fitted: dict[str, AnyFit]) -> DataFrame:
-    """Test-year measures of fitted models and rank baselines: (section, model, measures)."""
+def test_scores(rows: DataFrame, years: Years, fitted: dict[str, AnyFit]) -> DataFrame:
+    """(section, model, fips, y, p): the test year scored by fitted models and ranked by baselines."""
     test = rows.filter(F.col("year") == years.test)
     scored = baseline_scores(test).withColumn("section", F.lit("baselines"))
     for name, f in fitted.items():
         scored = scored.unionByName(f.score(test, "p").select(
             "fips", "y", F.lit(name).alias("model"), "p", F.lit("test").alias("section")))
-    out = mt.evaluate(stage(scored, "scored"), "y", "p", "fips", CUT[target], ["section", "model"])
+    return stage(scored, "scored")
+
+
+def evaluate_target(rows: DataFrame, target: str, years: Years, fitted: dict[str, AnyFit]) -> DataFrame:
+    """Test-year measures of fitted models and rank baselines: (section, model, measures)."""
+    return evaluate_scores(test_scores(rows, years, fitted), target)
+
+
+def evaluate_scores(scored: DataFrame, target: str) -> DataFrame:
+    out = mt.evaluate(scored, "y", "p", "fips", CUT[target], ["section", "model"])
     # Ranks are no probabilities.
     return out.withColumn("brier", F.when(F.col("section") == "test", F.col("brier")))
 
@@ -246,44 +272,80 @@ def fold_table(spark: SparkSession, df: DataFrame, group: str, folds: int = 5) -
     return spark.createDataFrame(rows, f"{group} {kind}, n_rows long, fold int")
 
 
-def grouped_cv(rows: DataFrame, years: Years, names: Sequence[str] = ("logit", "forest"),
-               folds: int = 5) -> DataFrame:
-    """(model, mean_auc, min_auc, max_auc) with whole states held out."""
-    spark = rows.sparkSession
-    labelled = rows.filter(F.col("year").isin(list(years.final)))
-    with_fold = stage(labelled.join(F.broadcast(fold_table(spark, labelled, "state", folds).select("state", "fold")),
-                                    "state"), "folds")
-
-    def held_out(job: tuple[str, int]) -> DataFrame:
-        name, f = job
-        fit = FITTERS[name](with_fold.filter(F.col("fold") != f))
-        return fit.score(with_fold.filter(F.col("fold") == f), "p").select("y", "p", "fold", F.lit(name).alias("model"))
+def held_out_scores(parts: Mapping[str, DataFrame], years: Years, names: Sequence[str] = ("logit", "forest"), folds: int = 5,
+                    trees: int = TREES) -> DataFrame:
+    """(target, model, fold, fips, year, y, p): every labelled row scored by fits that never saw its state.
 
-    with ThreadPool(PARALLEL_FITS) as workers:  # independent jobs
-        parts = workers.map(held_out, [(name, f) for name in names for f in range(folds)], chunksize=1)
-    scored = parts[0]
-    for p in parts[1:]:
-        scored = scored.unionByName(p)
-    auc = mt.roc_auc(scored, "y", "p", ["model", "fold"])
-    return auc.groupBy("model").agg(F.avg("roc_auc").alias("mean_auc"), F.min("roc_auc").alias("min_auc"),
-                                    F.max("roc_auc").alias("max_auc"))
+    ``parts`` are the rows of each target. All folds of all targets are fitted together: one job grows all trees, and a few
+    shared passes give all logistic fits.
+    """
+    spark = next(iter(parts.values())).sparkSession
+    dealt = []
+    for rows in parts.values():
+        labelled = rows.filter(F.col("year").isin(list(years.final)))
+        table = F.broadcast(fold_table(spark, labelled, "state", folds).select("state", "fold"))  # MAX_GROUPS rows at most
+        dealt.append(stage(labelled.join(table, "state"), "folds"))
+    cells = [Fold(p, f) for p in range(len(dealt)) for f in range(folds)]
+    scored = []
+    for name in names:
+        if name == "forest":
+            forest = grow(dealt, cells, trees)
+            fits: list[AnyFit] = [forest.fit(i) for i in range(len(cells))]
+        elif name == "logit":
+            fits = fit_logits(dealt, cells)
+        else:
+            raise ValueError(f"no held-out fits of {name}")
+        for p, target in enumerate(parts):
+            mine = [(c.held, fit) for c, fit in zip(cells, fits, strict=True) if c.part == p]
+            for f, fit in mine:
+                scored.append(fit.score(dealt[p].filter(F.col("fold") == f), "p").select(
+                    F.lit(target).alias("target"), F.lit(name).alias("model"), "fold", "fips", "year", "y", "p"))
+    return stage(reduce(DataFrame.unionByName, scored), "held_out")
+
+
+def grouped_cv(scores: DataFrame) -> DataFrame:
+    """(target, model, mean_auc, min_auc, max_auc) over the folds of ``held_out_scores``."""
+    auc = mt.roc_auc(scores, "y", "p", ["target", "model", "fold"])
+    return auc.groupBy("target", "model").agg(F.avg("roc_auc").alias("mean_auc"), F.min("roc_auc").alias("min_auc"),
+                                              F.max("roc_auc").alias("max_auc"))
 
 
 def coefficient_table(train: DataFrame) -> DataFrame:
-    """(feature, coef, se, p_value, odds_ratio_per_sd, ci_lo, ci_hi) per standard deviation.
+    """(feature, coef, se, p_value, odds_ratio_per_sd, ci_lo, ci_hi, state_se, state_ci_lo, state_ci_hi) per standard deviation.
 
-    Features that do not vary in the training rows are left out.
+    Errors come from the information matrix of the last pass. Those with ``state_`` also allow for rows of a state that go
+    together: the matrix is set against the summed slopes of each state. Features that do not vary are left out.
     """
+    fit = fit_logit(train)
+    pop, sample = fit.scaler, Scaler.fit(train, sample=True)
+    keep = [i for i, s in enumerate(pop.sd) if s and s > 0]
+    at = [*keep, len(pop.features)]
+    _, rows = solver_rows([train], 1)
+    try:
+        meat = clustered_scores(rows, "state", [*fit.coefficients, fit.intercept])[np.ix_(at, at)]
+    finally:
+        rows.unpersist()
+    inverse = np.linalg.inv(fit.extra["information"][np.ix_(at, at)])
+    robust = inverse @ meat @ inverse
+    out = []
+    for k, i in enumerate(keep):
+        unit = sample.sd[i] / pop.sd[i]  # coefficients are told per sample deviation
+        b, se, wide = fit.coefficients[i] * unit, math.sqrt(inverse[k, k]) * unit, math.sqrt(max(robust[k, k], 0.0)) * unit
+        out.append((pop.features[i], b, se, math.erfc(abs(b) / se / math.sqrt(2)), math.exp(b), math.exp(b - 1.96 * se), math.exp(b + 1.96 * se),
+                    wide, math.exp(b - 1.96 * wide), math.exp(b + 1.96 * wide)))
+    return train.sparkSession.createDataFrame(out, "feature string, coef double, se double, p_value double, odds_ratio_per_sd double, "
+                                                   "ci_lo double, ci_hi double, state_se double, state_ci_lo double, state_ci_hi double")
+
+
+def library_coefficients(train: DataFrame) -> DataFrame:
+    """(feature, coef, se, p_value) of the library's solver, to compare with."""
     sc = Scaler.fit(train, sample=True).varying()
     fit = GeneralizedLinearRegression(family="binomial", featuresCol="x", labelCol="y", maxIter=200, tol=1e-10).fit(
         compact(sc.apply(train).select("x", "y"), train.count()))
     s = fit.summary
     se, pv = s.coefficientStandardErrors, s.pValues  # the intercept comes last in both
-    rows = [(f, float(fit.coefficients[i]), float(se[i]), float(pv[i])) for i, f in enumerate(sc.features)]
-    table = train.sparkSession.createDataFrame(rows, "feature string, coef double, se double, p_value double")
-    return table.withColumns({"odds_ratio_per_sd": F.exp("coef"),
-                              "ci_lo": F.exp(F.col("coef") - F.col("se") * 1.96),
-                              "ci_hi": F.exp(F.col("coef") + F.col("se") * 1.96)})
+    return train.sparkSession.createDataFrame([(f, float(fit.coefficients[i]), float(se[i]), float(pv[i])) for i, f in enumerate(sc.features)],
+                                              "feature string, coef double, se double, p_value double")
 
 
 def linear_coefficients(spark: SparkSession, fitted: LinearFit) -> DataFrame:
@@ -300,28 +362,42 @@ def largest_features(table: DataFrame, value: str, n: int = 5) -> DataFrame:
     return table.orderBy(F.col(value).desc(), "feature").limit(n)
 
 
-def permutation_importance(fitted: AnyFit, test: DataFrame, repeats: int = 5) -> DataFrame:
-    """(feature, importance): mean drop of AUC when one feature is shuffled among the test rows.
+def permutations(test: DataFrame, repeats: int = 5) -> DataFrame:
+    """(rep, fips, donor): in each repeat every row gets the row whose values it borrows; a shuffle by hash, so it can be told."""
+    places = row_numbers(test.select("fips"), [F.col("fips").asc()], "i").withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
+    donors = row_numbers(places.select("rep", F.xxhash64(F.lit(SEED), "rep", "fips").alias("h"), F.col("fips").alias("donor")),
+                         [F.col("h").asc(), F.col("donor").asc()], "i", ["rep"]).select("rep", "i", "donor")
+    return places.join(donors, ["rep", "i"]).select("rep", "fips", "donor")
+
 
-    One shuffle of the rows per repeat serves all features. All shuffled copies are scored together.
+def shuffled_scores(fitted: AnyFit, test: DataFrame, repeats: int = 5) -> DataFrame:
+    """(feature, rep, fips, y, p): test rows scored with one feature borrowed from the donor; feature "" has the plain rows.
+
+    One shuffle of the rows per repeat serves all features. All copies are scored together.
     """
     names = list(FEATURES)
-    base = row_numbers(test.select("fips", "y", F.array(*names).alias("own")), [F.col("fips").asc()], "i")
-    draws = base.withColumn("rep", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
-    donors = row_numbers(draws.select("rep", F.col("own").alias("other"),
-                                      F.xxhash64(F.lit(SEED), "rep", "fips").alias("h"), "fips"),
-                         [F.col("h").asc(), F.col("fips").asc()], "i", ["rep"]).select("rep", "i", "other")
-    mixed = draws.join(donors, ["rep", "i"]).select("rep", "y", "own", "other", F.explode(
-        F.sequence(F.lit(0), F.lit(len(names) - 1))).alias("j"))
-    # The unshuffled rows are scored once, as j = -1.
-    plain = base.select(F.lit(0).alias("rep"), "y", "own", F.col("own").alias("other"), F.lit(-1).alias("j"))
+    base = test.select("fips", "y", F.array(*[F.col(f).cast("double") for f in names]).alias("own"))
+    other = base.select(F.col("fips").alias("donor"), F.col("own").alias("other"))
+    pairs = permutations(test, repeats).join(base, "fips").join(other, "donor").select(
+        "rep", "fips", "y", "own", "other", F.explode(F.sequence(F.lit(0), F.lit(len(names) - 1))).alias("j"))
+    plain = base.select(F.lit(0).alias("rep"), "fips", "y", "own", F.col("own").alias("other"), F.lit(-1).alias("j"))
     cols = [F.when(F.col("j") == i, F.col("other")[i]).otherwise(F.col("own")[i]).alias(f) for i, f in enumerate(names)]
-    scored = fitted.score(mixed.unionByName(plain).select("rep", "j", "y", *cols), "p").select("rep", "j", "y", "p")
-    auc = stage(mt.roc_auc(scored, "y", "p", ["rep", "j"]), "importance")
-    whole = auc.filter("j = -1").select("roc_auc").scalar()
-    label = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("j") + 1)
-    return (auc.filter("j >= 0").groupBy("j").agg(F.avg("roc_auc").alias("shuffled"))
-            .select(label.alias("feature"), (whole - F.col("shuffled")).alias("importance")))
+    label = F.element_at(F.array(F.lit(""), *[F.lit(n) for n in names]), F.col("j") + 2)
+    rows = pairs.unionByName(plain).select(label.alias("feature"), "rep", "fips", "y", *cols)
+    return stage(fitted.score(rows, "p").select("feature", "rep", "fips", "y", "p"), "shuffled")
+
+
+def permutation_importance(fitted: AnyFit, test: DataFrame, repeats: int = 5) -> DataFrame:
+    """(feature, importance): mean drop of AUC when one feature is shuffled among the test rows."""
+    return importance_of(shuffled_scores(fitted, test, repeats))
+
+
+def importance_of(scores: DataFrame) -> DataFrame:
+    """(feature, importance) of ``shuffled_scores``."""
+    auc = stage(mt.roc_auc(scores, "y", "p", ["feature", "rep"]), "importance")
+    whole = auc.filter("feature = ''").select("roc_auc").scalar()
+    return (auc.filter("feature <> ''").groupBy("feature").agg(F.avg("roc_auc").alias("shuffled"))
+            .select("feature", (whole - F.col("shuffled")).alias("importance")))
 
 
 def score_latest(panel: DataFrame, years: Years, model: str = "logit") -> tuple[DataFrame, dict[str, AnyFit]]:
@@ -330,10 +406,8 @@ def score_latest(panel: DataFrame, years: Years, model: str = "logit") -> tuple[
     Adds p_new_site and p_first_site to the rows of that year; p_first_site is 0 where a large
     site exists.
     """
-    fits = {}
-    for t in TARGETS:
-        rows = training_rows(panel, t)
-        fits[t] = FITTERS[model](rows.filter(F.col("year").isin(list(years.final))))
+    parts = [training_rows(panel, t).filter(F.col("year").isin(list(years.final))) for t in TARGETS]
+    fits = dict(zip(TARGETS, fit_all(model, parts), strict=True))
     latest = model_features(panel.filter(F.col("year") == years.latest))
     scored = fits["B"].score(fits["A"].score(latest, "p_new_site"), "p_first_site")
     return scored.withColumn("p_first_site", F.when(F.col("large_sites") == 0, F.col("p_first_site")).otherwise(0.0)), fits
@@ -353,7 +427,7 @@ def solver_agreement(train: DataFrame, test: DataFrame, max_auc: float = 0.005,
     """One row comparing two solvers on the same rows: AUC gap, largest coefficient gap, verdict."""
     spark = train.sparkSession
     logit = fit_logit(train)
-    glm = coefficient_table(train)
+    glm = library_coefficients(train)
     sc = Scaler.fit(train, sample=True).varying()
     b = {r["feature"]: r["coef"] for r in glm.select("feature", "coef").collect()}
     margin = sum((sc.column(f) * b[f] for f in sc.features), F.lit(0.0))

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+import re
+from collections.abc import Iterator, Sequence
+from urllib.parse import quote
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -107,11 +112,32 @@ def write_map_features(features: DataFrame, path: str) -> None:
     features.select("value").write.mode("overwrite").text(path)
 
 
+CHUNK = 8 << 20  # bytes of a file in memory at once
+
+
 def file_inventory(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """(name, sha256, bytes) per file. ``paths`` are files or folders.
+    """(name, sha256, bytes) per file of any size. ``paths`` are files or folders.
 
-    One file is one row here, so files are expected to stay below 2 GB.
+    Spark lists the files without reading them; tasks then read one file after the other, a chunk at a time. A digest is
+    taken in order, so a file is never split. Tasks open local, HDFS, S3 and GCS paths.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("name"),
-                        F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"))
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+             .select("path", F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("bytes")))
+    count = files.count()
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for path in batch.column(0).to_pylist():
+                # Spark names files without escapes.
+                local = re.sub("^file:/+", "/", path)
+                store, at = (fs.LocalFileSystem(), local) if local != path else fs.FileSystem.from_uri(quote(path, safe=":/"))
+                code = hashlib.sha256()
+                with store.open_input_stream(at) as f:
+                    while part := f.read(CHUNK):
+                        code.update(part)
+                out.append(code.hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(out, pa.string()), batch.column(2)], ["name", "sha256", "bytes"])
+
+    tasks = max(1, min(count, 4 * spark.sparkContext.defaultParallelism))
+    return files.repartition(tasks).mapInArrow(digest, "name string, sha256 string, bytes long")

@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from siteplan.operators import ordering, selection
+from siteplan.operators import exact, ordering, selection
 from siteplan.plans import cost, portfolio, scoring
 
 CAND = "fips string, k int, value double, cost double"
@@ -107,3 +107,74 @@ def test_prefix_sums_by_group(spark):
     df = spark.createDataFrame([("a", 1, 2), ("a", 2, 3), ("b", 1, 5)], "g string, o int, v int")
     got = {(r["g"], r["o"]): r["s"] for r in ordering.prefix_sums(df, [F.col("o").asc()], {"s": "v"}, ["g"]).collect()}
     assert got == {("a", 1): 2, ("a", 2): 5, ("b", 1): 5}
+
+
+def best_value(rows, budget):
+    """The best value over all selections, by trying every number of sites in every area."""
+    areas = {}
+    for f, k, v, c in sorted(rows):
+        chain = areas.setdefault(f, [(0, 0.0)])
+        if k == len(chain):
+            chain.append((chain[-1][0] + c, chain[-1][1] + v))
+    states = {0: 0.0}
+    for chain in areas.values():
+        new = {}
+        for spent, value in states.items():
+            for c, v in chain:
+                if spent + c <= budget and new.get(spent + c, -1.0) < value + v:
+                    new[spent + c] = value + v
+        states = new
+    return max(states.values())
+
+
+def random_rows(rng, n, sites=3):
+    rows = []
+    for i in range(n):
+        v = float(rng.integers(5, 100))
+        for k in range(1, sites + 1):
+            rows.append((f"{i:03d}", k, v * float(rng.choice([0.4, 0.5, 0.6, 1.2])) ** (k - 1), int(rng.integers(3, 30))))
+    return [r for r in rows if rng.random() > 0.03]
+
+
+def test_core_search_equals_brute_force():
+    rng = np.random.default_rng(0)
+    for _ in range(200):
+        rows, budget = random_rows(rng, int(rng.integers(2, 12))), int(rng.integers(5, 160))
+        areas = {}
+        for f, k, v, c in sorted(rows):
+            chain = areas.setdefault(f, [(0, 0, 0.0)])
+            if k == len(chain):
+                chain.append((k, chain[-1][1] + c * exact.MICRO, chain[-1][2] + v))
+        rate = float(rng.uniform(0, 5))  # any rate gives a right bound, only the search takes longer
+        priced = {f: [v - c * rate / exact.MICRO for _, c, v in chain] for f, chain in areas.items()}
+        bound = sum(map(max, priced.values())) + rate * budget
+        found = exact.search_core([exact.Area(f, *zip(*chain, strict=True), [max(priced[f]) - p for p in priced[f]]) for f, chain in areas.items()],
+                                  budget * exact.MICRO, rate, bound + 1e-6)
+        got = sum(areas[f][m][2] for f, m in found.items())
+        assert sum(areas[f][m][1] for f, m in found.items()) <= budget * exact.MICRO
+        assert got == pytest.approx(best_value(rows, budget))
+
+
+@pytest.mark.parametrize("seed,n", [(1, 8), (2, 30), (3, 120), (4, 300)])
+def test_exact_selection_equals_brute_force(spark, seed, n):
+    rng = np.random.default_rng(seed)
+    rows, budget = random_rows(rng, n), 6 * n
+    cand = spark.createDataFrame([(f, k, v, float(c)) for f, k, v, c in rows], CAND)
+    picks, method = selection.select_sites(cand, float(budget), exact=True)
+    assert method == "exact (core search)"
+    got = picks.collect()
+    chains = {}
+    for r in got:
+        chains.setdefault(r["fips"], set()).add(r["k"])
+    assert all(ks == set(range(1, len(ks) + 1)) for ks in chains.values())
+    assert sum(r["cost"] for r in got) <= budget and sum(r["value"] for r in got) == pytest.approx(best_value(rows, budget))
+
+
+def test_exact_selection_gives_up_on_a_large_core_and_keeps_empty_cases(spark):
+    rng = np.random.default_rng(9)
+    cand = spark.createDataFrame([(f, k, v, float(c)) for f, k, v, c in random_rows(rng, 60)], CAND)
+    greedy = selection.select_greedy(cand, 300.0)
+    rows, proven = exact.select_exact(cand, 300.0, greedy, core_areas=0)
+    assert proven or {tuple(r) for r in rows.collect()} == {tuple(r) for r in greedy.collect()}
+    picks, method = selection.select_sites(cand, 1.0, exact=True)
+    assert picks.isEmpty() and picks.columns == cand.columns and method.startswith("exact")

@@ -127,3 +127,35 @@ def test_several_shells_and_holes(spark):
     assert [[ring[0] for ring in part] for part in got["a"]["coordinates"]] == [[[0.0, 0.0], [2.0, 2.0]], [[4.0, 4.0]], [[20.0, 0.0]]]
     assert [ring[0] for ring in got["b"]["coordinates"]] == [[0.0, 20.0], [1.0, 21.0]]
     assert all(ring[0] == ring[-1] for part in got["a"]["coordinates"] for ring in part)
+
+
+def test_digest_of_a_file_above_two_gigabytes(spark, tmp_path):
+    """A sparse file: three gigabytes of zeros, which no cell of a table could hold."""
+    import hashlib
+
+    from siteplan.sources import sinks
+    size = 3_000_000_000
+    with open(tmp_path / "large file%20.bin", "wb") as f:
+        f.truncate(size)
+    (tmp_path / "small.txt").write_text("abc")
+    (tmp_path / "empty").write_text("")
+    code = hashlib.sha256()
+    block = bytes(1_000_000)
+    for _ in range(size // len(block)):
+        code.update(block)
+    got = {r["name"]: (r["sha256"], r["bytes"]) for r in sinks.file_inventory(spark, [str(tmp_path)]).collect()}
+    assert got == {"large file%20.bin": (code.hexdigest(), size),
+                   "small.txt": ("ba7816bf8f01cfea414140de5dae2223b00361a396177a9cb410ff61f20015ad", 3),
+                   "empty": ("e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855", 0)}
+
+
+def test_checks_are_counted_while_writing(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from siteplan.operators import quality
+    df = spark.range(1000).select(F.col("id"), F.when(F.col("id") % 7 > 0, F.col("id")).alias("v")).repartition(5)
+    table, seen = quality.write_checked(df, str(tmp_path / "t"), {"rows": F.lit(True), "large": F.col("v") > 500}, ["v"])
+    plain = table.agg(F.count("*"), F.count_if(F.col("v") > 500), F.count_if(F.col("v").isNull())).first()
+    assert seen == {"rows": 1000, "large": plain[1], "null_v": plain[2]} and plain[0] == 1000
+    empty = quality.write_checked(df.limit(0), str(tmp_path / "e"), {"rows": F.lit(True)})[1]
+    assert empty == {"rows": 0}
