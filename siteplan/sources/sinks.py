@@ -118,7 +118,7 @@ CHUNK = 8 << 20  # bytes of a file in memory at once
 def file_inventory(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """(name, sha256, bytes) per file of any size. ``paths`` are files or folders.
 
-    Spark lists the files without reading them; tasks then read one file after the other, a chunk at a time. A digest is
+    Spark lists the files without reading them (empty ones it leaves out); tasks then read one file after the other, a chunk at a time. A digest is
     taken in order, so a file is never split. Tasks open local, HDFS, S3 and GCS paths.
     """
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
