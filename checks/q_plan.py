@@ -11,7 +11,7 @@ from siteplan.operators import selection
 from siteplan.operators.ordering import top_rows
 from siteplan.plans import clusters, cost, portfolio
 from siteplan.plans.portfolio import NET, Controls
-from siteplan.plans.scoring import DEFAULT_WEIGHTS, DEMAND, SATURATION, add_components, expand_candidates, score
+from siteplan.plans.scoring import DEFAULT_WEIGHTS, DEMAND, SATURATION, add_components, site_options, score
 from siteplan.sources import sinks
 
 # ---- SQL side: the application table and the default plan ----------------------------------
@@ -22,7 +22,7 @@ def _pct(col: str, direction: int) -> str:
     return r if direction > 0 else f"1 - {r} + 1e0 / count(*) over ()"
 
 
-PARTS = {f"c_{n}": _pct(c, d) for n, (c, d, _) in {**DEMAND, **SATURATION}.items()}
+PARTS = {f"c_{n}": _pct(c, d) for n, (c, d) in ((n, of[:2]) for n, of in {**DEMAND, **SATURATION}.items())}
 CTES["snap"] = (["full_panel"], f"""select *, county_name as cluster, {', '.join(f'{e} as {n}' for n, e in STAND_IN.items())}
   from full_panel where year = {SNAPSHOT}""")
 CTES["app"] = (["snap", "price"], f"""select c.*, (c_local_density + c_nearby_ports) / 2e0 as saturation,
@@ -53,12 +53,12 @@ def _rated(t: Tables) -> DataFrame:
 
 
 def _cand(t: Tables) -> DataFrame:
-    return expand_candidates(_rated(t), "future_deployment", BASE_COST, 2, 0.5)
+    return site_options(_rated(t), "future_deployment", BASE_COST, 2, 0.5)
 
 
 def _priced_cand(t: Tables) -> DataFrame:
     rated = _rated(t)
-    return expand_candidates(rated, "future_deployment", F.lit(BASE_COST) * (0.8 + F.col("state") / 50.0), 3, 0.5)
+    return site_options(rated, "future_deployment", F.lit(BASE_COST) * (0.8 + F.col("state") / 50.0), 3, 0.5)
 
 
 COMPONENTS = list(PARTS)

@@ -41,7 +41,7 @@ def test_order_budget_and_bound(spark):
 
 def test_equal_cost_is_top_n(spark):
     df = spark.createDataFrame([("a", 3.0, 0), ("b", 2.0, 0), ("c", 1.0, 0)], "fips string, v double, own_sites int")
-    picks, method = selection.select_sites(scoring.expand_candidates(df, "v", 10.0, 2, 0.5), 25.0)
+    picks, method = selection.select_sites(scoring.site_options(df, "v", 10.0, 2, 0.5), 25.0)
     assert method.startswith("exact")
     assert {(r["fips"], r["k"]) for r in picks.collect()} == {("a", 1), ("b", 1)}
 
@@ -56,16 +56,16 @@ def test_below_one_site_and_empty(spark):
 
 def test_decay_counts_existing_sites(spark):
     df = spark.createDataFrame([("a", 10.0, 0), ("b", 10.0, 1)], "fips string, v double, own_sites int")
-    got = {(r["fips"], r["k"]): r["value"] for r in scoring.expand_candidates(df, "v", 1.0, 2, 0.5).collect()}
+    got = {(r["fips"], r["k"]): r["value"] for r in scoring.site_options(df, "v", 1.0, 2, 0.5).collect()}
     assert got == {("a", 1): 10.0, ("a", 2): 5.0, ("b", 1): 5.0, ("b", 2): 2.5}
     with pytest.raises(ValueError):
-        scoring.expand_candidates(df, "v", 1.0, 2, 0.0)
+        scoring.site_options(df, "v", 1.0, 2, 0.0)
 
 
 @pytest.fixture(scope="module")
 def scored(spark):
     rng = np.random.default_rng(0)
-    cols = [c for c, _, _ in {**scoring.DEMAND, **scoring.SATURATION}.values()]
+    cols = [of[0] for of in {**scoring.DEMAND, **scoring.SATURATION}.values()]
     pdf = pd.DataFrame(rng.random((6, len(cols))), columns=cols)
     pdf.loc[2, "pop_growth"] = np.nan
     pdf.insert(0, "fips", [f"{i:05d}" for i in range(6)])
