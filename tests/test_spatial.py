@@ -90,6 +90,50 @@ def test_holes_parts_and_first_match(spark, monkeypatch):
     assert got == want
 
 
+def squares(corners, side):
+    return [e for k, (x, y) in enumerate(corners)
+            for e in ring(f"p{k:06d}", [(x, y), (x + side, y), (x + side, y + side), (x, y + side)])]
+
+
+def test_many_polygons_in_one_cell(spark, monkeypatch):
+    """12,000 plots in one cell, some over each other, half of all points in one plot: equal to a search of all plots."""
+    rng = np.random.default_rng(4)
+    side = 0.004
+    grid = [(10 + a / 110 * 0.9, 20 + b / 110 * 0.9) for a in range(110) for b in range(110)][:12000]
+    pile = [tuple(c) for c in rng.uniform(0.4000, 0.4015, (200, 2)) + (10, 20)]  # 200 boxes over each other
+    corners = np.array(grid + pile + [(-3.5, 2.25), (10.95, 20.5)])
+    boxes = spark.createDataFrame(pd.DataFrame({"poly": [f"p{k:06d}" for k in range(len(corners))], "bx1": corners[:, 0], "bx2": corners[:, 0] + side,
+                                                "by1": corners[:, 1], "by2": corners[:, 1] + side}))
+    edges = spark.createDataFrame(pd.DataFrame(squares(corners, side), columns=["poly", "ring", "x1", "y1", "x2", "y2"]))
+    at = np.vstack([rng.uniform(0, 1, (1500, 2)) + (10, 20), rng.uniform(0, side, (2000, 2)) + grid[77], rng.uniform(0.4, 0.406, (500, 2)) + (10, 20), [(-3.498, 2.252), (5, 5)]])
+    pts = spark.createDataFrame(pd.DataFrame({"id": range(len(at)), "lon": at[:, 0], "lat": at[:, 1]}))
+    inside = ((at[:, None, :] >= corners[None]) & (at[:, None, :] < corners[None] + side)).all(axis=2)
+    want = {k: f"p{np.argmax(row):06d}" if row.any() else None for k, row in enumerate(inside)}
+
+    leaves, splits = polygons.index_cells(boxes, 1.0)
+    cells, slow = polygons.cell_shapes(edges, leaves, 1.0, True)
+    assert cells.agg(F.max(F.size("shapes"))).first()[0] <= polygons.NODE_SHAPES and len(splits) >= 4
+    assert 200 <= slow.select("poly").distinct().count() < 400  # only the pile and the plots under it
+    for sent, part in [(polygons.SENT_CELLS, 10**6), (0, 300)]:  # cells broadcast or joined, cells whole or in parts
+        monkeypatch.setattr(polygons, "SENT_CELLS", sent)
+        monkeypatch.setattr(polygons, "PART_POINTS", part)
+        got = polygons.place_points(pts, "id", edges)
+        assert got.columns == ["id", "lon", "lat", "poly"] and {r["id"]: r["poly"] for r in got.collect()} == want
+
+
+def test_snapping_in_parts_equals_whole_cells(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    edges = spark.createDataFrame(ring("a", [(-100.0, 40.0), (-99.0, 40.0), (-99.0, 41.0), (-100.0, 41.0)])
+                                  + ring("b", [(-98.96, 40.0), (-98.0, 40.0), (-98.0, 41.0), (-98.96, 41.0)]), EDGE)
+    at = np.vstack([rng.uniform(-98.999, -98.961, 3000), rng.uniform(40.40, 40.42, 3000)]).T  # one cell, between the two
+    pts = spark.createDataFrame(pd.DataFrame({"id": range(3000), "lon": at[:, 0], "lat": at[:, 1]}))
+    whole = {r["id"]: (r["snap_poly"], r["snap_m"]) for r in polygons.snap_points(pts, "id", edges).collect()}
+    monkeypatch.setattr(polygons, "PART_POINTS", 100)
+    dealt, copied, on = polygons.in_parts(pts.withColumn("gx", F.lit(1)), spark.createDataFrame([(1, "a"), (2, "b")], "gx int, poly string"), ["gx"], "id")
+    assert dealt.groupBy(*on).count().agg(F.max("count")).first()[0] < 200 and copied.count() == 31
+    assert {r["id"]: (r["snap_poly"], r["snap_m"]) for r in polygons.snap_points(pts, "id", edges).collect()} == whole and len(whole) == 3000
+
+
 def test_snap_and_drop(spark):
     edges = spark.createDataFrame(ring("a", [(-100., 40.), (-99., 40.), (-99., 41.), (-100., 41.)])
                                   + ring("b", [(-98.9, 40.), (-98., 40.), (-98., 41.), (-98.9, 41.)]), EDGE)
