@@ -14,6 +14,7 @@ from siteplan.plans import facts, panel, prices, supply
 from siteplan.plans.models import Scaler
 from siteplan.plans.panel import PANEL_COLUMNS
 from siteplan.plans.scoring import fill_with_median
+from siteplan.session import bucketed
 
 MEASURES = ", ".join(supply.MEASURES)
 
@@ -221,6 +222,19 @@ def _(t: Tables) -> DataFrame:
     return rounded(full.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(-9.0)) for c in NULLABLE}), PANEL_DIGITS)
 
 
+@query("s11_panel_from_buckets", with_ctes("full_panel", then=f"select {_panel_sql()} from full_panel"))
+def _(t: Tables) -> DataFrame:
+    """The same panel from tables in buckets of the entity."""
+    full = panel.build_panel(panel.co_located(t.inputs(), 16), YEARS, SNAPSHOT)
+    return rounded(full.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(-9.0)) for c in NULLABLE}), PANEL_DIGITS)
+
+
+@query("w2_growth_from_buckets", with_ctes("growth", then="select fips, cast(year as int) as year, round(coalesce(pop_growth, -9e0), 9) as pop_growth from growth"))
+def _(t: Tables) -> DataFrame:
+    grown = panel.growth(bucketed(t.population(), ["fips"], 16, "population"))
+    return grown.select("fips", "year", F.round(F.coalesce("pop_growth", F.lit(-9.0)), 9).alias("pop_growth"))
+
+
 @query("b2_spatial_supply", with_ctes("spatial", then="select fips, cast(year as int) as year, round(dist_large_dcfc_mi, 6) as miles, ports_within_50mi from spatial"))
 def _(t: Tables) -> DataFrame:
     return supply.spatial_supply_by_year(t.entity(), t.working(), SPINE).select("fips", "year", F.round("dist_large_dcfc_mi", 6).alias("miles"), "ports_within_50mi")

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siteplan.functions.arith import floor_at, guarded_ratio
 from siteplan.plans import supply as sup
+from siteplan.session import bucketed
 
 # Columns of the panel.
 PANEL_COLUMNS = [
@@ -36,6 +37,16 @@ class Inputs:
     incentives: DataFrame
 
 
+def co_located(src: Inputs, buckets: int) -> Inputs:
+    """The same tables, those with an entity written in ``buckets`` buckets of it.
+
+    Worth it where several panels, windows or labels are built from them: the joins, aggregations and windows by entity
+    then plan no shuffle. Tables by state stay as they are.
+    """
+    return replace(src, **{name: bucketed(getattr(src, name), ["fips"], buckets, name)
+                           for name in ("areas", "stations", "population", "traffic")})
+
+
 def state_rates(population: DataFrame, areas: DataFrame, registrations: DataFrame, rate_year: int) -> DataFrame:
     """(state, state_pop, bev_per_1k): registrations per 1,000 residents of one fixed year."""
     pop = (population.filter(F.col("year") == rate_year).join(areas.select("fips", "state"), "fips")

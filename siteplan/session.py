@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _local_scratch: dict[str, str] = {}
 _swept: set[str] = set()
@@ -68,3 +69,24 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# No bucket should hold a key with more rows than one task reads well.
+KEY_ROWS = 5_000_000
+
+
+def bucketed(df: DataFrame, keys: list[str], buckets: int, label: str) -> DataFrame:
+    """Write ``df`` to the scratch folder in ``buckets`` sorted buckets of its keys and read it back.
+
+    Joins, aggregations and windows on the keys between tables of as many buckets need no shuffle. A bucket is read by
+    one task, so a table with a key of more than ``KEY_ROWS`` rows is staged without buckets instead: there a shuffle
+    with map-side combine, or a join that adaptive execution splits, is the better plan.
+    """
+    spark = df.sparkSession
+    plain = stage(df, label)
+    if not plain.groupBy(*keys).count().filter(F.col("count") > KEY_ROWS).isEmpty():
+        return plain
+    name = f"{label}_{uuid.uuid4().hex}"
+    (plain.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+     .option("path", scratch_path(spark, label)).saveAsTable(name))
+    return spark.table(name)
