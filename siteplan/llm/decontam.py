@@ -168,7 +168,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WOR
     hits = stage(texts.mapInArrow(probe, "doc_id long, text_hash long, doc_words binary, at array<int>, hash array<long>"), "seed_hits")
     key = ["doc_id", "text_hash"]
     places = hits.select(*key, F.explode(F.arrays_zip("at", "hash")).alias("s")).select(*key, F.col("s.at").alias("doc_at"), "s.hash")
-    met = lookup(places, item_seeds, ["hash"], [F.coalesce("doc_id", F.lit(0)), F.col("doc_at")], "inner")
+    met = lookup(places, item_seeds, ["hash"], [F.coalesce("doc_id", F.lit(0)), F.col("doc_at")], "inner", shuffled=True)
     pairs = (met.select(*key, "item", (F.col("doc_at") - F.col("at")).alias("shift")).distinct()
              .groupBy(*key, "item").agg(F.collect_list("shift").alias("shifts")))  # fewer than the words of one document
     one = hits.select(*key, "doc_words").dropDuplicates(key)

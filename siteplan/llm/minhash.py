@@ -276,14 +276,21 @@ def confirmed_links(families: DataFrame, payload: DataFrame, threshold: tuple[in
     return in_blocks(families, "family", payload, block_rows).mapInArrow(run, "a long, b long")
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every larger end ``u`` has one edge and is no smaller end ``v``: each component is a star around its smallest node."""
+    ends = F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("up")), F.struct(F.col("v").alias("node"), F.lit(0).alias("up")))
+    nodes = (edges.select(F.explode(ends).alias("x")).groupBy("x.node").agg(F.sum("x.up").alias("n"), F.min("x.up").alias("least")))
+    return not nodes.agg(F.bool_or((F.col("n") > 1) | ((F.col("n") == 1) & (F.col("least") == 0)))).first()[0]
+
+
 def components(links: DataFrame, label: str = "component") -> DataFrame:
     """(node, component): smallest node reachable, for every node of ``links`` (a, b).
 
-    Alternates large-star and small-star steps until the links no longer change; each round is a written table.
+    Alternates large-star and small-star steps until only stars are left, which another round would not change; each
+    round is a written table.
     """
     edges = stage(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
-    mark = None
-    while True:
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
         # Large star: each larger neighbour points to the smallest node around.
@@ -295,10 +302,6 @@ def components(links: DataFrame, label: str = "component") -> DataFrame:
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.withColumnRenamed("m", "v"))
                  .filter("u <> v").distinct())
         edges = stage(small, "links")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark == now:
-            break
-        mark = now
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias(label))
     return roots.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias(label)).distinct())
 
