@@ -161,3 +161,25 @@ def test_measures_of_a_cell(spark):
     assert got["a"]["cent_lon"] == pytest.approx(-95.5, abs=1e-6)
     assert got["a"]["cent_lat"] == pytest.approx(38.5, abs=0.01)
     assert got["none"]["area_sqmi"] == 2.0
+
+
+def test_long_thin_polygons_are_cut_across_only(spark):
+    """600 strips of ten degrees in one degree: a strip is copied to its ten cells and hardly more."""
+    wide = 1 / 600
+    strips = [ring(f"s{k:04d}", [(k * wide, -0.0005), ((k + 1) * wide, -0.0005), ((k + 1) * wide, 10.), (k * wide, 10.)]) for k in range(600)]
+    edges = spark.createDataFrame([e for r in strips for e in r], EDGE)
+    boxes = spark.createDataFrame([(f"s{k:04d}", k * wide, (k + 1) * wide, -0.0005, 9.999) for k in range(600)], "poly string, bx1 double, bx2 double, by1 double, by2 double")
+    leaves, splits = polygons.index_cells(boxes, 1.0)
+    assert 3 <= len(splits) <= 5 and leaves.count() < 600 * 11 * 1.5 and leaves.filter("dense or ly > 0").isEmpty()
+    pts = spark.createDataFrame([(k, (k * 37 % 1000) / 100 + 0.003, (k + 0.5) * wide) for k in range(600)], "id int, lat double, lon double")
+    assert {r["id"]: r["poly"] for r in polygons.place_points(pts, "id", edges).collect()} == {k: f"s{k:04d}" for k in range(600)}
+
+
+def test_edges_far_from_all_points_are_not_cut_to_pieces(spark):
+    edges = spark.createDataFrame(ring("a", [(-100., 40.), (-99., 40.), (-99., 41.), (-100., 41.)]), EDGE)
+    none = spark.createDataFrame([], "id int, lat double, lon double")
+    one = spark.createDataFrame([(1, 40.5, -98.97)], "id int, lat double, lon double")
+    assert polygons.snap_points(none, "id", edges).collect() == []
+    plan = polygons.snap_points(one, "id", edges)._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan
+    assert [(r["id"], r["snap_poly"]) for r in polygons.snap_points(one, "id", edges).collect()] == [(1, "a")]
