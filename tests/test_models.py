@@ -197,3 +197,38 @@ def test_group_folds_balance(rows):
     out = models.group_folds(rows, "state", 5)
     load = [sum(n for _, n, f in out if f == i) for i in range(5)]
     assert len(out) == 7 and sum(load) == rows.count() and out[0][1] >= out[-1][1]
+
+
+def test_borrowed_bins_are_scored_like_changed_rows():
+    rng = np.random.default_rng(2)
+    bins = rng.integers(0, 32, (20_000, 6)).astype(np.uint8)
+    y = (rng.random(len(bins)) < 0.1 + 0.02 * (bins[:, 1] > bins[:, 4])).astype(np.uint8)
+    t = forest.grow_tree(bins, y, rng.integers(0, 3, len(bins)), np.random.default_rng(0), tried=3)
+    other = bins[rng.permutation(len(bins))]
+    got = t.borrowed(bins, other)
+    assert len(t.feature) > 100
+    for j in range(6):
+        changed = bins.copy()
+        changed[:, j] = other[:, j]
+        assert (got[:, j] == t.leaves(changed)).all()
+    alone = forest.grow_tree(bins[:0], y[:0], y[:0], np.random.default_rng(0), tried=3)
+    assert alone.borrowed(bins, other).shape == bins.shape and len(alone.leaves(bins[:0])) == 0
+
+
+def test_trees_are_sent_in_bounded_runs(rows, monkeypatch):
+    class Plain:  # scores every copy as a row of its own
+        def __init__(self, fit):
+            self.score = fit.score
+
+    fit, test = models.fit_forest(rows.filter("year < 2024"), trees=12), rows.filter("year = 2024")
+    whole = {r["fips"]: r["p"] for r in fit.score(test).collect()}
+    want = {(r["feature"], r["rep"], r["fips"]): r["p"] for r in models.shuffled_scores(Plain(fit), test, 2).collect()}
+    monkeypatch.setattr(forest, "SENT_BYTES", 1 << 11)
+    sent = []
+    real = type(rows.sparkSession.sparkContext).broadcast
+    monkeypatch.setattr(type(rows.sparkSession.sparkContext), "broadcast", lambda self, v: sent.append(sum(len(b) for t in v for b in t)) or real(self, v))
+    assert {r["fips"]: r["p"] for r in fit.score(test).collect()} == whole
+    assert len(sent) > 1 and max(sent) <= 1 << 11
+    got = {(r["feature"], r["rep"], r["fips"]): r["p"] for r in models.shuffled_scores(fit, test, 2).collect()}
+    assert got == want and len(got) == (1 + 2 * len(FEATURES)) * len(whole)
+    assert fit.score(test.filter("false")).collect() == []
