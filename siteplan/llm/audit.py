@@ -62,7 +62,7 @@ def copies_of_smaller(texts: DataFrame, hashes: DataFrame) -> DataFrame:
              .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))))
     spread = some.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
     same = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("h", "part", "text")]
-    return (spread.alias("l").join(first.alias("r"), same[0] & same[1] & same[2] & (F.col("r.first") < F.col("l.doc_id")), "left_semi")
+    return (spread.alias("l").join(first.hint("merge").alias("r"), same[0] & same[1] & same[2] & (F.col("r.first") < F.col("l.doc_id")), "left_semi")
             .select("doc_id", "h").distinct())
 
 
@@ -77,9 +77,9 @@ def combinations(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, list[st
     copies = stage(copies_of_smaller(source.select("doc_id", F.xxhash64("text").alias("h"), "text"), light.select("h")), "copies")
     marks = labels.filter("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.max((F.col("quality") == 1).cast("int")).alias("good"), F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
-    known = lookup(light, marks, ["doc_id"], [F.col("row")])
+    known = lookup(light, marks, ["doc_id"], [F.col("row")], shuffled=True)
     failed = (known.select("row", "part", "good", "toxic", "bits")
-              .unionByName(light.join(copies, ["doc_id", "h"], "left_semi").select("row", F.lit(1 << len(fails)).alias("bits")), allowMissingColumns=True))
+              .unionByName(light.join(copies.hint("merge"), ["doc_id", "h"], "left_semi").select("row", F.lit(1 << len(fails)).alias("bits")), allowMissingColumns=True))
     each = failed.groupBy("row").agg(F.max("part").alias("part"), F.coalesce(F.max("good"), F.lit(0)).alias("good"),
                                      F.coalesce(F.max("toxic"), F.lit(0)).alias("toxic"), F.sum("bits").cast("int").alias("bits"))
     return each.groupBy("part", "good", "toxic", "bits").agg(F.count("*").alias("n")), letters

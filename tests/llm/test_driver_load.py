@@ -63,3 +63,27 @@ def test_seeds_are_not_sent_to_all_tasks(monkeypatch, spark, docs):
     found = decontam.overlaps(docs([(1, "x " + " ".join(words) + " y"), (2, "nothing here")]), items).collect()
     assert [(r.doc_id, r.doc_start, r.n_words) for r in found] == [(1, 1, 20)]
     assert len(plans) == 1 and "Broadcast" not in plans[0]
+
+
+@pytest.mark.parametrize("module", ["minhash", "audit"])
+def test_salted_copies_are_not_sent_to_all_tasks(monkeypatch, spark, docs, module):
+    """The planner would take 16 copies of a table for one and send them through the driver."""
+    from siteplan.llm import audit
+    plans, at = [], {"minhash": minhash, "audit": audit}[module]
+    real = at.lookup
+
+    def spied(*args, **more):
+        out = real(*args, **more)
+        plans.append(out._jdf.queryExecution().optimizedPlan().toString())
+        return out
+
+    monkeypatch.setattr(at, "lookup", spied)
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = docs([(1, text), (2, text + " x"), (3, text + " x y"), (4, "other words " * 30), (5, text)])
+    if module == "minhash":
+        assert sorted(r.doc_id for r in minhash.distinct_documents(rows).collect()) == [1, 4]
+    else:
+        labels = spark.createDataFrame([(1, 1, 0), (4, 0, 1)], "doc_id long, quality int, toxic int")
+        assert audit.audit(rows, labels).filter("step = 1 and filter_order = 'EABCD'").agg({"removed": "sum"}).first()[0] == 1
+    joins = [next(line for line in p.splitlines() if "Join" in line) for p in plans]
+    assert joins and all("strategy=merge" in j for j in joins)
