@@ -167,7 +167,7 @@ def in_blocks(members: DataFrame, group: str, payload: DataFrame, block_rows: in
     """
     sizes = (members.groupBy(group).agg(F.count("*").alias("_m")).filter("_m > 1")
              .select(group, F.ceil(F.col("_m") / block_rows).alias("_blocks")))
-    dealt = (lookup(members, sizes, [group], [F.col("node")], "inner")
+    dealt = (lookup(members, sizes, [group], [F.col("node")], "inner", shuffled=True)
              .withColumn("_own", F.pmod(F.xxhash64("node", F.lit(3)), F.col("_blocks")))
              .withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
              .select(group, F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j"),
@@ -294,11 +294,11 @@ def components(links: DataFrame, label: str = "component") -> DataFrame:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
         # Large star: each larger neighbour points to the smallest node around.
-        large = (lookup(both.filter("v > u"), low, ["u"], [F.col("v")], "inner")
+        large = (lookup(both.filter("v > u"), low, ["u"], [F.col("v")], "inner", shuffled=True)
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct())
         # Small star: the smaller neighbours of a node, and itself, point to the smallest of them.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (lookup(large, least, ["u"], [F.col("v")], "inner")
+        small = (lookup(large, least, ["u"], [F.col("v")], "inner", shuffled=True)
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.withColumnRenamed("m", "v"))
                  .filter("u <> v").distinct())
         edges = stage(small, "links")
@@ -321,17 +321,17 @@ def grouped(docs: DataFrame, threshold: tuple[int, int] = (85, 100), words: int
                          F.monotonically_increasing_id().alias("node")), "sets")
     found = candidate_links(banded(sets), sets.select("node", "sig"), threshold[0] / threshold[1], block_rows)
     families = stage(components(found, "family"), "families")
-    wanted = families.join(sets, "node").select("node", "sig", "one_id", "one_hash")
+    wanted = families.hint("merge").join(sets, "node").select("node", "sig", "one_id", "one_hash")  # pairs of numbers: small files, many rows
     texts = (source.join(wanted, F.col("doc_id").eqNullSafe(F.col("one_id")) & (F.col("text_hash") == F.col("one_hash")))
              .select("node", "sig", "text").dropDuplicates(["node"]))
     comp = components(confirmed_links(families, texts, threshold, words, family_rows))
-    linked = comp.join(sets.select("node", "one_id"), "node")
+    linked = comp.hint("merge").join(sets.select("node", "one_id"), "node")
     least_id = linked.groupBy("component").agg(F.min("one_id").alias("least_id"))
-    linked = lookup(linked, least_id, ["component"], [F.col("node")], "inner").select("node", "component", "least_id")
-    named = sets.join(linked, "node", "left").select(
+    linked = lookup(linked, least_id, ["component"], [F.col("node")], "inner", shuffled=True).select("node", "component", "least_id")
+    named = sets.join(linked.hint("merge"), "node", "left").select(
         *ident, F.coalesce("component", "node").alias("group"),
         F.when(F.col("component").isNull(), F.col("one_id")).otherwise(F.col("least_id")).alias("component_id"))
-    out = lookup(rows.select("doc_id", "text_hash", *ident), named, ident, [F.coalesce("doc_id", F.lit(0)), F.col("s1")])
+    out = lookup(rows.select("doc_id", "text_hash", *ident), named, ident, [F.coalesce("doc_id", F.lit(0)), F.col("s1")], shuffled=True)
     return (out.withColumn("component_id", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")))
             .select("doc_id", "text_hash", "n_shingles", "component_id",
                     F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "group"))
@@ -367,5 +367,5 @@ def distinct_documents(docs: DataFrame, threshold: tuple[int, int] = (85, 100))
                                "_hash": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
     key, row = ["_none", "_id", "_hash"], row_hash(docs)
     marked = marked.withColumn("_row", row)
-    copies = lookup(marked, one, key, [F.col("_row")], "left_semi")
+    copies = lookup(marked, one, key, [F.col("_row")], "left_semi", shuffled=True)
     return copies.groupBy(*key).agg(F.min_by(F.struct(*docs.columns), "_row").alias("_one")).select("_one.*")
